@@ -25,6 +25,7 @@ from facets.operators.profile import (
 from facets.operators.rank import (
     bottom_k,
     common_keys,
+    frequencies,
     frequency,
     mode_group,
     restrict_to_top_keys,
@@ -39,6 +40,6 @@ __all__ = [
     "keep_year", "drop_sentinels", "replace_sentinel", "replace_with_mode", "with_clock_hours",
     "drop_incomplete", "priced_top_k", "total_of_top_k", "shape", "structure", "null_profile",
     "sentinel_profile", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
-    "null_count", "unbinned", "frequency", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
+    "null_count", "unbinned", "frequency", "frequencies", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
     "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows",
 ]

@@ -130,6 +130,21 @@ def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows") -
     return df.join(F.broadcast(top), key, "left_semi")
 
 
+def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
+    """Frequency tables of several columns from **one** scan, in long form
+    (column_name, value as text, n).
+
+    ``unpivot`` expands each row into one row per column *before* the
+    partial aggregate, so the shuffle carries at most one partial row per
+    (column, value) per task - five frequency tables for the price of one
+    read, where the reference runs five group-bys over five scans.
+    """
+    cols = list(columns)
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    long = texts.unpivot([], cols, "column_name", "value")
+    return frequency(long, ["column_name", "value"], "rows", name)
+
+
 def mode_group(df: DataFrame, key: str, group: str, name: str = "n") -> DataFrame:
     """For every key, its most common group (ties: smallest group first)."""
     pair = frequency(df, [key, group], "rows", name)

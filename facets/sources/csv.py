@@ -42,4 +42,4 @@ def load_csv(
 
 def parse_date(c, formats: tuple[str, ...]):
     """First layout in ``formats`` that parses ``c``; NULL if none does."""
-    return F.coalesce(*[F.try_to_date(c, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
