@@ -45,8 +45,8 @@ def parse_clock12(c: Column | str, policy: str = "as_written") -> Column:
     if policy == "as_written":
         shift = F.when(suffix == "P", F.lit(12.0)).otherwise(F.lit(0.0))
         h = hh.try_cast("double") + shift
-        h = F.when(h == 24, F.lit(0.0)).otherwise(h)
-        return F.when((h >= 0) & (h <= 23), h)
+        # 24 folds to 0; then only 0..23 survives (the reference's two steps).
+        return F.when(h == 24, F.lit(0.0)).when((h >= 0) & (h <= 23), h)
     hour = hh.try_cast("int")
     minute = mm.try_cast("int")
     ok = c.rlike(CLOCK12_PATTERN) & hour.between(0, 12) & minute.between(0, 59)
@@ -59,8 +59,7 @@ def clock12_sql(name: str, policy: str = "as_written") -> str:
     if policy == "as_written":
         h = (f"(TRY_CAST(substr({name}, 1, 2) AS DOUBLE) + "
              f"CASE WHEN substr({name}, 5, 2) = 'P' THEN 12.0 ELSE 0.0 END)")
-        h = f"(CASE WHEN {h} = 24 THEN 0.0 ELSE {h} END)"
-        return f"(CASE WHEN {h} >= 0 AND {h} <= 23 THEN {h} END)"
+        return f"(CASE WHEN {h} = 24 THEN 0.0 WHEN {h} >= 0 AND {h} <= 23 THEN {h} END)"
     hour = f"TRY_CAST(substr({name}, 1, 2) AS INTEGER)"
     minute = f"TRY_CAST(substr({name}, 3, 2) AS INTEGER)"
     ok = (f"regexp_matches({name}, '{CLOCK12_PATTERN}') AND {hour} BETWEEN 0 AND 12 "

@@ -8,6 +8,7 @@ from facets.operators.clean import (
     replace_with_mode,
     with_clock_hours,
 )
+from facets.operators.derive import with_bound_columns
 from facets.operators.estimate import priced_top_k, total_of_top_k
 from facets.operators.profile import (
     distinct_values,
@@ -41,5 +42,5 @@ __all__ = [
     "drop_incomplete", "priced_top_k", "total_of_top_k", "shape", "structure", "null_profile",
     "sentinel_profile", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
     "null_count", "unbinned", "frequency", "frequencies", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
-    "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows",
+    "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows", "with_bound_columns",
 ]

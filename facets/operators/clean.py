@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from facets.functions.clock import clock_parts, parse_clock12
 from facets.functions.compare import matches
 from facets.functions.dates import in_year
+from facets.operators.derive import with_bound_columns
 from facets.operators.rank import top_k
 
 
@@ -57,11 +58,15 @@ def replace_with_mode(df: DataFrame, column: str, sentinel) -> DataFrame:
 
 def with_clock_hours(df: DataFrame, time_col: str, hours: str = "Violation_hours",
                      minutes: str | None = "Violation_mins", policy: str = "as_written") -> DataFrame:
-    """Add the hour of day parsed from 12-hour clock text (and the minute text)."""
+    """Add the hour of day parsed from 12-hour clock text (and the minute text).
+
+    The hour is bound once per row (``with_bound_columns``): bins and
+    ``dropna`` above it test the value, not copies of the parser.
+    """
     cols = {hours: parse_clock12(time_col, policy)}
     if minutes:
         cols[minutes] = clock_parts(time_col)[1]
-    return df.withColumns(cols)
+    return with_bound_columns(df, cols)
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

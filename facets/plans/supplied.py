@@ -53,6 +53,7 @@ from facets.operators import (
     unbinned,
     uniqueness,
     value_range,
+    with_clock_hours,
     year_profile,
 )
 from facets.sources import read_table, register_view, rename_prefix
@@ -282,9 +283,8 @@ WHERE hour IS NOT NULL AND event_type IS NOT NULL AND time_bin IS NOT NULL GROUP
 def q_clock_bin_counts(spark, sf_dir):
     """The reference's own chain: clock text -> hour (as written) -> bins -> dropna -> counts."""
     ev = read_table(spark, sf_dir, "events").select(clock_text("ts").alias("t"), "event_type")
-    hour = parse_clock12("t", "as_written")
-    b = drop_incomplete(ev.select(hour.alias("hour"), "event_type",
-                                  bin_column(hour, REFERENCE_BINS).alias("time_bin")))
+    h = with_clock_hours(ev, "t", "hour", None, "as_written").select("hour", "event_type")
+    b = drop_incomplete(h.withColumn("time_bin", bin_column("hour", REFERENCE_BINS)))
     return frequency(b, "time_bin", count="event_type")
 
 

@@ -41,3 +41,11 @@ def test_column_pruning(spark):
 def test_restriction_broadcasts_only_top_k(spark):
     p = plan(QUERIES["bins_of_top_codes"](spark, SF001))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
+
+
+def test_clock_parser_not_inlined_into_bin_filter(spark):
+    # dropna over bins of a parsed hour must test the bound value, not copies of the parser
+    p = plan(QUERIES["clock_bin_counts"](spark, SF001))
+    assert "Generate inline" in p
+    filt = [ln for ln in p.splitlines() if "atleastnnonnulls" in ln]
+    assert filt and all("date_format" not in ln for ln in filt)
