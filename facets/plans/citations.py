@@ -28,6 +28,7 @@ from facets.operators import (
     distinct_values,
     drop_incomplete,
     drop_sentinels,
+    frequencies,
     frequency,
     keep_year,
     mode_group,
@@ -74,6 +75,10 @@ ZERO_CHECKED = ("Summons_Number", "Plate_ID", "Registration_State", "Violation_C
 STATE_PLACEHOLDER = "99"
 STATE_FILL = "NY"
 
+# Columns whose frequency the reference ranks.
+FREQUENCY_COLUMNS = ("Violation_Code", "Vehicle_Body_Type", "Vehicle_Make", "Violation_Precinct",
+                     "Issuer_Precinct")
+
 # Average fine per violation code (USD).
 FINES = {21: 55, 38: 50, 14: 115}
 
@@ -166,4 +171,7 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
         "top3_codes": top_k(clean, "Violation_Code", 3),
         "top3_total": total_of_top_k(clean, "Violation_Code", 3),
         "fines": priced_top_k(clean, "Violation_Code", 3, fines),
+        # the five frequency questions from one scan, top 6 each
+        "frequency_tables": top_k_per_group(frequencies(clean, FREQUENCY_COLUMNS), "column_name", "value", 6,
+                                            by="n"),
     }

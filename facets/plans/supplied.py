@@ -35,6 +35,7 @@ from facets.operators import (
     drop_incomplete,
     drop_sentinels,
     duplicates,
+    frequencies,
     frequency,
     keep_year,
     mode_group,
@@ -452,3 +453,22 @@ def q_bin_counts_sql(spark, sf_dir):
                      "AS time_bin FROM facets_events")
     register_view(drop_incomplete(bins), "facets_time_bins")
     return spark.sql("SELECT time_bin, count(event_type) AS n FROM facets_time_bins GROUP BY time_bin")
+
+
+# --- one scan, several frequency tables ------------------------------
+
+_MULTI_COLS = ("p_brand", "p_type", "p_size")
+_MULTI_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM part GROUP BY {c}"
+    for c in _MULTI_COLS)
+
+
+@query("multi_topk", f"""
+WITH f AS ({_MULTI_SQL}),
+r AS (SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name
+      ORDER BY n DESC, value ASC NULLS FIRST) AS INTEGER) AS "rank" FROM f)
+SELECT * FROM r WHERE "rank" <= 3""")
+def q_multi_topk(spark, sf_dir):
+    """Top 3 of three columns from a single read of ``part``."""
+    long = frequencies(read_table(spark, sf_dir, "part"), _MULTI_COLS)
+    return top_k_per_group(long, "column_name", "value", 3, by="n")

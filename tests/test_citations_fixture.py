@@ -122,3 +122,17 @@ def test_landed_report_matches(spark, raw):
     b = citation_report(landed)
     for name in ("code_top", "bin_counts", "season_counts", "top3_per_bin", "fines"):
         assert sorted(map(str, rows(a[name]))) == sorted(map(str, rows(b[name].select(*a[name].columns))))
+
+
+def test_frequency_tables_one_scan(raw):
+    from facets.operators import frequency
+    from facets.plans.citations import FREQUENCY_COLUMNS
+
+    clean = clean_citations(raw)
+    ft = {(c, v): (n, k) for c, v, n, k in rows(citation_report(clean)["frequency_tables"])}
+    assert ft[("Vehicle_Make", "NISSA")] == (4, 1) and ft[("Vehicle_Make", "FORD")] == (3, 2)
+    for c in FREQUENCY_COLUMNS:
+        separate = {(None if v is None else str(v)): n for v, n in rows(frequency(clean, c))}
+        for (col, v), (n, _) in ft.items():
+            if col == c:
+                assert separate[v] == n
