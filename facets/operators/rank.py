@@ -17,8 +17,9 @@ Physical shape, which is what makes these hold at scale:
   partition.
 * ``mode_group`` is a plain aggregate (``min`` of a (-count, group) struct):
   argmax with a deterministic tie-break and partial aggregation, no window.
-* Restricting to the top-k keys is a left-semi join against a broadcast of
-  exactly k rows - the broadcast side is bounded by ``k``, not by the data.
+* Restricting to the top-k keys (or top-n groups) is a left-semi join
+  against a broadcast of exactly k rows - the broadcast side is bounded by
+  ``k``, not by the data, and the large side is never shuffled for it.
 """
 
 from __future__ import annotations
@@ -101,17 +102,18 @@ def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k:
                         name: str = "n", rank: str = "rank") -> DataFrame:
     """Top k keys inside each of the ``n_groups`` largest groups.
 
-    One scan: the (group, key) counts are computed once; group sizes are
-    summed from them, the n largest groups kept by a semi join against a
-    broadcast of ``n_groups`` rows, and those groups ranked. Spark reuses the
-    (group, key) exchange for both branches.
+    Plan: group sizes are a per-group count (partial aggregate; the shuffle
+    carries one row per group per task); the n largest are a
+    ``TakeOrderedAndProject`` of n rows, broadcast - a size fixed by
+    ``n_groups``, not by the data - into a left-semi join that drops every
+    other group's rows at the scan, before the (group, key) aggregate and the
+    per-group ranking. Two column-pruned reads, and only the chosen groups'
+    rows reach the pair shuffle.
     """
     ks = _keys(keys)
-    pair = frequency(df, [group] + ks, "rows", name)
-    sizes = pair.groupBy(group).agg(F.sum(name).alias(name))
-    top_groups = top_k(sizes, group, n_groups, by=name).select(group)
-    pair = pair.join(F.broadcast(top_groups), group, "left_semi")
-    return top_k_per_group(pair, group, ks, k, by=name, rank=rank)
+    top_groups = top_k(df, group, n_groups).select(group)
+    kept = df.join(F.broadcast(top_groups), group, "left_semi")
+    return top_k_per_group(kept, group, ks, k, name=name, rank=rank)
 
 
 def common_keys(ranked: DataFrame, group: str, key: str, name: str = "n_groups") -> DataFrame:
