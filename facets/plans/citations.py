@@ -50,7 +50,7 @@ from facets.operators import (
     with_clock_hours,
     year_profile,
 )
-from facets.sources import land_parquet, load_csv, normalize_names
+from facets.sources import land_parquet, load_csv, normalize_names, register_view
 
 # The citation file's columns (header text) and their types.
 CITATION_COLUMNS = (
@@ -181,3 +181,54 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
         "frequency_tables": top_k_per_group(frequencies(clean, FREQUENCY_COLUMNS), "column_name", "value", 6,
                                             by="n"),
     }
+
+
+# Default names of the views ``register_citation_views`` creates.
+VIEW_NAMES = {"table": "citations", "time_bins": "citation_time_bins", "seasons": "citation_seasons",
+              "top_codes": "citation_top_codes"}
+
+
+def register_citation_views(clean: DataFrame, names: dict[str, str] | None = None) -> dict[str, str]:
+    """Register the cleaned table and its derived tables as temp views, with
+    the column names the analysis uses (``Violation_Code``, ``Time_Bins``,
+    ``Seasons``, ``Issue_Month`` ...), so existing SQL text over such views
+    runs unchanged. ``names`` maps table/time_bins/seasons/top_codes to the
+    view names a caller's SQL uses. Views are plans: Catalyst optimises
+    every query from the scan up."""
+    names = {**VIEW_NAMES, **(names or {})}
+    register_view(clean, names["table"])
+    register_view(time_bins(clean), names["time_bins"])
+    register_view(seasons(clean), names["seasons"])
+    register_view(top_k(clean, "Violation_Code", 3, name="count1"), names["top_codes"])
+    return names
+
+
+def write_report(report: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> dict[str, str]:
+    """Write every answer as Parquet under ``out_dir`` (one folder each).
+
+    The answers are small (k rows, a profile row), but they are written by
+    the executors, not collected: nothing passes through the driver."""
+    paths = {}
+    for name, df in report.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        df.coalesce(1).write.mode(mode).parquet(path)
+        paths[name] = path
+    return paths
+
+
+def run_citation_report(spark: SparkSession, csv_path: str, out_dir: str, *, landed_path: str | None = None,
+                        date_formats=("yyyy-MM-dd",), **clean_kw) -> dict[str, str]:
+    """Load -> checks -> clean -> land -> report, every answer written to ``out_dir``."""
+    raw = load_citations(spark, csv_path, date_formats)
+    paths = write_report({f"check_{k}": v for k, v in quality_checks(raw).items()}, out_dir)
+    landed = land_cleaned(clean_citations(raw, **clean_kw), landed_path)
+    paths.update(write_report(citation_report(landed), out_dir))
+    return paths
+
+
+if __name__ == "__main__":  # spark-submit facets/plans/citations.py CSV OUT_DIR
+    import sys
+
+    session = SparkSession.builder.appName("facets-citations").getOrCreate()
+    for name, path in run_citation_report(session, sys.argv[1], sys.argv[2]).items():
+        print(name, path)

@@ -136,3 +136,42 @@ def test_frequency_tables_one_scan(raw):
         for (col, v), (n, _) in ft.items():
             if col == c:
                 assert separate[v] == n
+
+
+def test_sql_text_over_views(spark, raw):
+    from facets.operators import top_k, top_k_per_group
+    from facets.plans.citations import register_citation_views
+
+    clean = clean_citations(raw)
+    v = register_citation_views(clean)
+    morning = spark.sql(f"""select Violation_Code, count(*) as vio_count from {v['time_bins']}
+                            where Time_Bins='Afternoon' group by Violation_Code
+                            order by vio_count desc, Violation_Code""")
+    per_bin = top_k_per_group(time_bins(clean), "Time_Bins", "Violation_Code", 6)
+    expect = [(c, n) for b, c, n, _ in rows(per_bin.orderBy("Time_Bins", "rank")) if b == "Afternoon"]
+    assert rows(morning) == expect
+    seasons = spark.sql(f"select Seasons, count(Violation_Code) as vio_count from {v['seasons']} group by Seasons")
+    assert dict(rows(seasons)) == {"Winter": 4, "Rainy": 3, "Summer": 3}
+    total = spark.sql(f"select sum(count1) as total from {v['top_codes']}")
+    assert rows(total) == [(9,)]
+    distinct = spark.sql(f"select count(distinct(Summons_Number)) as n from {v['table']}")
+    assert rows(distinct) == [(10,)]
+    assert rows(top_k(clean, "Violation_Code", 3)) == [(46, 4), (21, 3), (14, 2)]
+
+
+def test_run_report_writes_every_answer(spark, citations_path, tmp_path):
+    from facets.plans.citations import run_citation_report
+
+    paths = run_citation_report(spark, citations_path, str(tmp_path / "out"), landed_path=str(tmp_path / "landed"))
+    assert "check_nulls" in paths and "fines" in paths and "top3_per_bin" in paths
+    fines = rows(spark.read.parquet(paths["fines"]).orderBy("Violation_Code"))
+    assert fines == [(14, 2, 115, 230), (21, 3, 55, 165), (46, 4, None, None)]
+
+
+def test_infer_schema_reads_iso_dates_as_dates(spark):
+    from facets.sources import load_csv
+
+    iso = load_csv(spark, os.path.join(FIXTURES, "citations.csv"), infer=True)
+    us = load_csv(spark, os.path.join(FIXTURES, "citations_us_dates.csv"), infer=True)
+    assert dict(iso.dtypes)["Issue Date"] == "date"
+    assert dict(us.dtypes)["Issue Date"] == "string"
