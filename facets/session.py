@@ -39,10 +39,14 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (a
-    bare local test session) pick a scratch folder of our own."""
+    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset in a
+    ``local[...]`` session (tests) pick a scratch folder of our own. On a
+    cluster a machine-local folder would vanish with its executor, so an
+    unset value is an error there."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         d = tempfile.mkdtemp(prefix="facets-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
