@@ -87,9 +87,16 @@ def _count_filter_union(table: str, cols, pred: str, value_name: str) -> str:
 
 
 def clock_text(ts: Column | str) -> Column:
-    """A timestamp written the citations' way: ``hhmm`` + one of A/P."""
+    """A timestamp written the citations' way: ``hhmm`` + one of A/P.
+
+    Built from ``hour``/``minute`` (time-zone free on ``timestamp_ntz``)
+    rather than ``date_format``, which would pass through the session zone.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.substring(F.date_format(ts, "hhmma"), 1, 5)
+    h = F.hour(ts)
+    h12 = ((h + 11) % 12) + 1
+    return F.concat(F.lpad(h12.cast("string"), 2, "0"), F.lpad(F.minute(ts).cast("string"), 2, "0"),
+                    F.when(h < 12, F.lit("A")).otherwise(F.lit("P")))
 
 
 CLOCK_TEXT_SQL = "substr(strftime(ts, '%I%M%p'), 1, 5)"
