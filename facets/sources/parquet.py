@@ -14,14 +14,28 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # The supplied test tables.
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Schemas already read, keyed by path (and modification time when the path is
+# local): a catalog's job. Without it every ``spark.read.parquet`` runs a
+# Spark job just to read a footer before the query itself starts.
+_SCHEMAS: dict[tuple[str, float | None], T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else None)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession) -> str:
