@@ -206,12 +206,14 @@ def register_citation_views(clean: DataFrame, names: dict[str, str] | None = Non
 def write_report(report: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> dict[str, str]:
     """Write every answer as Parquet under ``out_dir`` (one folder each).
 
-    The answers are small (k rows, a profile row), but they are written by
-    the executors, not collected: nothing passes through the driver."""
+    Written by the executors, not collected: nothing passes through the
+    driver. No ``coalesce(1)``: most answers are k rows (AQE already merges
+    their tiny shuffle partitions), but some (``unbinned``) grow with the
+    data and must not be funnelled into one task."""
     paths = {}
     for name, df in report.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        df.coalesce(1).write.mode(mode).parquet(path)
+        df.write.mode(mode).parquet(path)
         paths[name] = path
     return paths
 

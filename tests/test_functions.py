@@ -62,3 +62,17 @@ def test_in_year_pushes_down(spark, tmp_path):
     assert q.count() == 1
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,2017-01-01), LessThan(d,2018-01-01)]" in plan
+
+
+def test_with_bound_columns_keeps_order_and_replaces(spark):
+    from facets.operators import with_bound_columns
+
+    df = spark.createDataFrame([(1, "0143A"), (2, "x")], "id int, t string")
+    out = with_bound_columns(df, {"t": F.upper("t"), "h": parse_clock12("t")})
+    assert out.columns == ["id", "t", "h"]
+    assert rows(out) == [(1, "0143A", 1.0), (2, "X", None)]
+    # filters on bound columns stay above the generator; others reach the source
+    q = out.where(F.col("h").isNotNull() & (F.col("id") > 0))
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter isnotnull(h") < plan.index("Generate")
+    assert rows(q) == [(1, "0143A", 1.0)]
