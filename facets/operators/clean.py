@@ -32,7 +32,9 @@ def drop_sentinels(df: DataFrame, sentinels: Mapping[str, object], keep_null: bo
     """Drop rows holding a placeholder in any listed column, in one filter.
 
     ``col != value`` is NULL for a NULL value, so such rows go too (as in the
-    reference) unless ``keep_null``.
+    reference) unless ``keep_null``. The same holds for text that is not a
+    number when a text column is checked against a number (it compares as
+    NULL, as Spark without ANSI did).
     """
     cond = None
     for c, v in sentinels.items():

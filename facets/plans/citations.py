@@ -143,10 +143,14 @@ def seasons(clean: DataFrame, spec=SEASONS) -> DataFrame:
     return clean.select("Issue_month", "Violation_Code", bin_column("Issue_month", spec).alias("Seasons"))
 
 
-def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fines=FINES) -> dict[str, DataFrame]:
-    """One lazily planned DataFrame per question of the reference."""
-    tb_all = time_bins(clean, drop=False)
-    tb = time_bins(clean)
+def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fines=FINES,
+                    bins=REFERENCE_BINS) -> dict[str, DataFrame]:
+    """One lazily planned DataFrame per question of the reference.
+
+    ``precinct="Issuer_Precinct"`` asks the precinct question as worded
+    rather than as coded; ``bins=EQUAL_4H_BINS`` gives six equal bins."""
+    tb_all = time_bins(clean, bins, drop=False)
+    tb = time_bins(clean, bins)
     ss = seasons(clean)
     precinct_codes = top_k_in_top_groups(clean, precinct, "Violation_Code", 3, 6)
     top3_binned = restrict_to_top_keys(tb, "Violation_Code", 3)
