@@ -12,6 +12,8 @@ Parquet files; output column names and types agree by construction.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +59,7 @@ from facets.operators import (
     with_clock_hours,
     year_profile,
 )
-from facets.sources import read_table, register_view, rename_prefix
+from facets.sources import load_csv, read_table, register_view, rename_prefix, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -479,3 +481,23 @@ def q_multi_topk(spark, sf_dir):
     """Top 3 of three columns from a single read of ``part``."""
     long = frequencies(read_table(spark, sf_dir, "part"), _MULTI_COLS)
     return top_k_per_group(long, "column_name", "value", 3, by="n")
+
+
+# --- A1: CSV source ----------------------------------------------------------------------
+
+@query("csv_source", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, o_orderpriority, count(*) AS n
+FROM orders GROUP BY 1, 2""")
+def q_csv_source(spark, sf_dir):
+    """Headed CSV read with a declared schema and ``MM/dd/yyyy`` dates.
+
+    The CSV is written by Spark from the whole ``orders`` table into the
+    shared ``spark.checkpoint.dir`` (a fresh folder per call), then read back
+    through ``load_csv`` - no inference pass, dates parsed by layout."""
+    path = os.path.join(shared_dir(spark), f"facets-csv-{uuid.uuid4().hex}")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy").alias("o_orderdate"), "o_orderpriority")
+    o.write.option("header", True).csv(path)
+    df = load_csv(spark, path, "o_orderkey bigint, o_orderdate date, o_orderpriority string",
+                  date_columns=("o_orderdate",), date_formats=("MM/dd/yyyy", "yyyy-MM-dd"))
+    return frequency(df.select(F.year("o_orderdate").alias("o_year"), "o_orderpriority"), ["o_year", "o_orderpriority"])
