@@ -175,3 +175,27 @@ def test_infer_schema_reads_iso_dates_as_dates(spark):
     us = load_csv(spark, os.path.join(FIXTURES, "citations_us_dates.csv"), infer=True)
     assert dict(iso.dtypes)["Issue Date"] == "date"
     assert dict(us.dtypes)["Issue Date"] == "string"
+
+
+def test_precinct_parameter_s12(raw):
+    clean = clean_citations(raw)
+    as_coded = rows(citation_report(clean)["codes_in_top_precincts"].orderBy("Violation_Precinct", "rank"))
+    as_worded = rows(citation_report(clean, precinct="Issuer_Precinct")["codes_in_top_precincts"]
+                     .orderBy("Issuer_Precinct", "rank"))
+    # violation precincts 19:4 18:3 1:2 14:1; issuer precincts 19:3 18:3 1:2 14:2 (tie -> 1)
+    assert {r[0] for r in as_coded} == {r[0] for r in as_worded} == {1, 18, 19}
+    assert [r for r in as_coded if r[0] == 19] == [(19, 21, 3, 1), (19, 46, 1, 2)]
+    assert [r for r in as_worded if r[0] == 19] == [(19, 21, 3, 1)]
+    assert as_coded[0] == (1, 14, 2, 1)
+
+
+def test_names_resolve_case_insensitively_s14(spark, raw):
+    from facets.plans.citations import register_citation_views
+
+    v = register_citation_views(clean_citations(raw))
+    out = spark.sql(f"SELECT Issue_Month, count(*) AS Count FROM {v['seasons']} GROUP BY Issue_Month "
+                    "ORDER BY count DESC, issue_month")
+    assert out.columns == ["Issue_Month", "Count"]
+    # every kept row has a different month (Jan..Nov, no September or December)
+    assert rows(out) == [(m, 1) for m in (1, 2, 3, 4, 5, 6, 7, 8, 10, 11)]
+
