@@ -457,11 +457,12 @@ def q_bin_counts_sql(spark, sf_dir):
     """``bin_counts`` the reference's way: SQL text over temp views, a view
     re-registered after ``dropna``. Views are plans, so Catalyst still sees
     one query from scan to aggregate."""
-    register_view(read_table(spark, sf_dir, "events"), "facets_events")
+    tag = uuid.uuid4().hex[:12]  # per-call view names: concurrent callers cannot swap views
+    register_view(read_table(spark, sf_dir, "events"), f"facets_events_{tag}")
     bins = spark.sql(f"SELECT hour(ts) AS hour, event_type, {bin_case_sql('hour(ts)', REFERENCE_BINS)} "
-                     "AS time_bin FROM facets_events")
-    register_view(drop_incomplete(bins), "facets_time_bins")
-    return spark.sql("SELECT time_bin, count(event_type) AS n FROM facets_time_bins GROUP BY time_bin")
+                     f"AS time_bin FROM facets_events_{tag}")
+    register_view(drop_incomplete(bins), f"facets_time_bins_{tag}")
+    return spark.sql(f"SELECT time_bin, count(event_type) AS n FROM facets_time_bins_{tag} GROUP BY time_bin")
 
 
 # --- one scan, several frequency tables ------------------------------

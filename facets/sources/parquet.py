@@ -39,11 +39,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder (HDFS/S3/...)")
-    return d
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Unset on a cluster is an error; in a ``local[...]`` session a scratch
+    folder is chosen (see ``facets.session.ensure_checkpoint_dir``)."""
+    from facets.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark)
 
 
 def land_parquet(df: DataFrame, path: str | None = None, partition_by: tuple[str, ...] = (),
