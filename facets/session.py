@@ -25,14 +25,16 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "facets",
-                  driver_memory: str = "8g") -> SparkSession:
-    spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
-             .config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", driver_memory)
-             .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
-             .getOrCreate())
+                  driver_memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
+    builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
+               .config("spark.ui.enabled", "false")
+               .config("spark.driver.memory", driver_memory)
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.session.timeZone", "UTC"))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
