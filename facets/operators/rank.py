@@ -40,7 +40,7 @@ def _count(mode: str, keys: list[str]) -> Column:
     if mode == "rows":
         return F.count(F.lit(1))
     if mode == "key":
-        # SparkR's n(col): non-NULL values of the key, so a NULL key's group counts 0.
+        # count(key): non-NULL values of the key only, so a NULL key's group counts 0.
         if len(keys) != 1:
             raise ValueError("count='key' needs exactly one key")
         return F.count(F.col(keys[0]))
