@@ -21,11 +21,13 @@ def _col(c: Column | str) -> Column:
 
 def _bound(dtype: T.DataType, d: dt.date) -> Column:
     # A literal of the column's own type, so no cast lands on the column side
-    # and the comparison stays a pushable source filter.
+    # and the comparison stays a pushable source filter. Built from text: a
+    # Python datetime literal would pass through the driver process's zone.
+    text = F.lit(f"{d.isoformat()} 00:00:00")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+        return text.cast("timestamp_ntz")      # zone-free, like year() on it
     if isinstance(dtype, T.TimestampType):
-        return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp")
+        return text.cast("timestamp")          # session zone, like year() on it
     return F.lit(d)
 
 

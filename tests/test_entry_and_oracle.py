@@ -32,3 +32,21 @@ def test_oracle_agreement(spark):
     rep = compare(spark, SF01)
     bad = {k: v for k, v in rep.items() if v.get("ok") is False}
     assert not bad, bad
+
+
+@pytest.mark.skipif(not os.path.exists(SF01), reason="no sf0.01 data")
+def test_results_do_not_depend_on_session_zone_or_partitions(spark):
+    from oracle_check import compare
+
+    names = ["year_filter", "clean_topk", "clock12_hours", "clock12_standard", "clock_bin_counts", "date_range",
+             "bin_counts", "season_counts", "csv_source", "date_parts"]
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    old_sp = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        rep = compare(spark, SF01, names)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+        spark.conf.set("spark.sql.shuffle.partitions", old_sp)
+    assert all(v.get("ok") for v in rep.values()), rep
