@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _bound(dtype: T.DataType, d: dt.date) -> Column:
     # A literal of the column's own type, so no cast lands on the column side
     # and the comparison stays a pushable source filter. Built from text: a

@@ -3,7 +3,6 @@
 import os
 
 from conftest import FIXTURES, as_dict, rows
-from pyspark.sql import functions as F
 
 from facets.functions import matches
 from facets.plans.citations import (
