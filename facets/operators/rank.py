@@ -89,12 +89,29 @@ def slice_top_k(df: DataFrame, where: Column, keys: Keys, k: int, **kw) -> DataF
     return top_k(df.where(where), keys, k, **kw)
 
 
+# Salt buckets for the first ranking level when Spark's own partial limit is off.
+SALT_BUCKETS = 64
+
+
 def top_k_per_group(df: DataFrame, group: Keys, keys: Keys, k: int, *, by: str | None = None,
                     count: str = "rows", name: str = "n", rank: str = "rank") -> DataFrame:
-    """For every group, its k most frequent keys with their rank (1..k)."""
+    """For every group, its k most frequent keys with their rank (1..k).
+
+    Spark bounds a hot group by itself (partial ``WindowGroupLimit``) only
+    for k up to ``spark.sql.optimizer.windowGroupLimitThreshold``. Above it,
+    the keys of each group are first ranked within ``SALT_BUCKETS`` hash
+    slices of the key and cut to k there, so the final per-group ranking
+    sees at most k x buckets rows per group instead of every key."""
     gs, ks = _keys(group), _keys(keys)
     freq, by = _measured(df, gs + ks, by, count, name)
-    w = Window.partitionBy(*gs).orderBy(*_order(ks, by, True))
+    order = _order(ks, by, True)
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > threshold:
+        salt = F.pmod(F.xxhash64(*ks), F.lit(SALT_BUCKETS))
+        w1 = Window.partitionBy(*gs, salt).orderBy(*order)
+        freq = freq.withColumn("_slice_rank", F.row_number().over(w1)).where(F.col("_slice_rank") <= k)
+        freq = freq.drop("_slice_rank")
+    w = Window.partitionBy(*gs).orderBy(*order)
     return freq.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 

@@ -80,3 +80,19 @@ def test_partitioning_does_not_change_results(spark):
     a = sorted(map(str, rows(top_k_per_group(df, "k", "g", 2))))
     b = sorted(map(str, rows(top_k_per_group(df.repartition(7), "k", "g", 2))))
     assert a == b
+
+
+def test_salted_first_level_when_partial_limit_is_off(spark):
+    df = spark.createDataFrame([(g, c) for g, c, n in [(1, 10, 5), (1, 11, 3), (1, 12, 3), (1, 13, 1), (2, 10, 2),
+                                                       (2, 14, 2)] for _ in range(n)], "g int, c int")
+    expect = rows(top_k_per_group(df, "g", "c", 3).orderBy("g", "rank"))
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    try:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1")
+        got = top_k_per_group(df, "g", "c", 3)
+        assert rows(got.orderBy("g", "rank")) == expect == [(1, 10, 5, 1), (1, 11, 3, 2), (1, 12, 3, 3),
+                                                            (2, 10, 2, 1), (2, 14, 2, 2)]
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "xxhash64" in plan
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
