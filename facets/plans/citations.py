@@ -153,7 +153,7 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
     tb = time_bins(clean, bins)
     ss = seasons(clean)
     precinct_codes = top_k_in_top_groups(clean, precinct, "Violation_Code", 3, 6)
-    top3_binned = restrict_to_top_keys(tb, "Violation_Code", 3)
+    top_binned = restrict_to_top_keys(tb, "Violation_Code", 3)
     return {
         "distinct_summons": uniqueness(clean, "Summons_Number"),
         "date_range": value_range(clean, "Issue_Date"),
@@ -172,14 +172,14 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
         "time_nulls": null_count(clean, "Violation_Time"),
         "unbinned": unbinned(tb_all, "Time_Bins"),
         "bin_counts": frequency(tb, "Time_Bins", count="Violation_Code"),
-        "top3_per_bin": top_k_per_group(tb, "Time_Bins", "Violation_Code", 3),
-        "top3_codes_binned": top_k(tb, "Violation_Code", 3),
-        "bins_of_top3_codes": frequency(top3_binned, ["Violation_Code", "Time_Bins"]),
-        "mode_bin_of_top3_codes": mode_group(top3_binned, "Violation_Code", "Time_Bins"),
+        "per_bin_top_codes": top_k_per_group(tb, "Time_Bins", "Violation_Code", 3),
+        "top_codes_binned": top_k(tb, "Violation_Code", 3),
+        "bins_of_top_codes": frequency(top_binned, ["Violation_Code", "Time_Bins"]),
+        "mode_bin_of_top_codes": mode_group(top_binned, "Violation_Code", "Time_Bins"),
         "season_counts": frequency(ss, "Seasons", count="Violation_Code"),
-        "top3_per_season": top_k_per_group(ss, "Seasons", "Violation_Code", 3),
-        "top3_codes": top_k(clean, "Violation_Code", 3),
-        "top3_total": total_of_top_k(clean, "Violation_Code", 3),
+        "per_season_top_codes": top_k_per_group(ss, "Seasons", "Violation_Code", 3),
+        "top_codes": top_k(clean, "Violation_Code", 3),
+        "top_codes_total": total_of_top_k(clean, "Violation_Code", 3),
         "fines": priced_top_k(clean, "Violation_Code", 3, fines),
         # the five frequency questions from one scan, top 6 each
         "frequency_tables": top_k_per_group(frequencies(clean, FREQUENCY_COLUMNS), "column_name", "value", 6,

@@ -359,13 +359,13 @@ def q_bin_counts_equal(spark, sf_dir):
     return frequency(drop_incomplete(b, ["time_bin"]), "time_bin", count="event_type")
 
 
-@query("top3_per_bin", f"""
+@query("per_bin_top_codes", f"""
 WITH {BINNED_EVENTS_SQL},
 p AS (SELECT time_bin, event_type, count(*) AS n FROM c GROUP BY time_bin, event_type),
 r AS (SELECT time_bin, event_type, n, CAST(row_number() OVER (PARTITION BY time_bin
       ORDER BY n DESC, event_type ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p)
 SELECT * FROM r WHERE "rank" <= 3""")
-def q_top3_per_bin(spark, sf_dir):
+def q_per_bin_top_codes(spark, sf_dir):
     return top_k_per_group(binned_events(spark, sf_dir), "time_bin", "event_type", 3)
 
 
@@ -411,33 +411,33 @@ def q_season_counts(spark, sf_dir):
     return frequency(seasoned_orders(spark, sf_dir), "season", count="o_orderpriority")
 
 
-@query("top3_per_season", f"""
+@query("per_season_top_codes", f"""
 WITH {SEASONED_ORDERS_SQL},
 p AS (SELECT season, o_orderpriority, count(*) AS n FROM s GROUP BY season, o_orderpriority),
 r AS (SELECT season, o_orderpriority, n, CAST(row_number() OVER (PARTITION BY season
       ORDER BY n DESC, o_orderpriority ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p)
 SELECT * FROM r WHERE "rank" <= 3""")
-def q_top3_per_season(spark, sf_dir):
+def q_per_season_top_codes(spark, sf_dir):
     return top_k_per_group(seasoned_orders(spark, sf_dir), "season", "o_orderpriority", 3)
 
 
 # --- G1 / E7 / A12: estimates and chart feed ---------------------------------------------
 
 _RATES_SQL = ", ".join(f"('{k}', {v})" for k, v in RATES.items())
-_TOP3_EVENTS_SQL = """
+_TOP_EVENTS_SQL = """
 t AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type
       ORDER BY n DESC, event_type ASC NULLS FIRST LIMIT 3)"""
 
 
 @query("revenue", f"""
-WITH {_TOP3_EVENTS_SQL},
+WITH {_TOP_EVENTS_SQL},
 r AS (SELECT * FROM (VALUES {_RATES_SQL}) v(event_type, fine))
 SELECT t.event_type, t.n, r.fine, t.n * r.fine AS total_fines FROM t LEFT JOIN r ON t.event_type = r.event_type""")
 def q_revenue(spark, sf_dir):
     return priced_top_k(read_table(spark, sf_dir, "events"), "event_type", 3, RATES)
 
 
-@query("sum_topk", f"WITH {_TOP3_EVENTS_SQL}\nSELECT CAST(sum(n) AS BIGINT) AS total FROM t")
+@query("sum_topk", f"WITH {_TOP_EVENTS_SQL}\nSELECT CAST(sum(n) AS BIGINT) AS total FROM t")
 def q_sum_topk(spark, sf_dir):
     return total_of_top_k(read_table(spark, sf_dir, "events"), "event_type", 3)
 

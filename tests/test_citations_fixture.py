@@ -103,12 +103,12 @@ def test_report(raw):
     assert sum(n for _, n in rows(r["bin_counts"])) == 7
     assert r["unbinned"].count() == 3
     assert as_dict(r["season_counts"], "Seasons", "n") == {"Winter": 4, "Rainy": 3, "Summer": 3}
-    assert rows(r["top3_codes"]) == [(46, 4), (21, 3), (14, 2)]
-    assert rows(r["top3_total"]) == [(9,)]
+    assert rows(r["top_codes"]) == [(46, 4), (21, 3), (14, 2)]
+    assert rows(r["top_codes_total"]) == [(9,)]
     fines = {c: (n, f, t) for c, n, f, t in rows(r["fines"])}
     assert fines == {46: (4, None, None), 21: (3, 55, 165), 14: (2, 115, 230)}
-    assert rows(r["top3_codes_binned"]) == [(14, 2), (21, 2), (46, 2)]
-    mode = {c: (b, n) for c, b, n in rows(r["mode_bin_of_top3_codes"])}
+    assert rows(r["top_codes_binned"]) == [(14, 2), (21, 2), (46, 2)]
+    mode = {c: (b, n) for c, b, n in rows(r["mode_bin_of_top_codes"])}
     assert mode == {46: ("Afternoon", 1), 21: ("Early Morning", 1), 14: ("Afternoon", 1)}
     for name, df in r.items():     # every answer plans and runs
         df.collect()
@@ -119,7 +119,7 @@ def test_landed_report_matches(spark, raw):
     landed = land_cleaned(clean)
     a = citation_report(clean)
     b = citation_report(landed)
-    for name in ("code_top", "bin_counts", "season_counts", "top3_per_bin", "fines"):
+    for name in ("code_top", "bin_counts", "season_counts", "per_bin_top_codes", "fines"):
         assert sorted(map(str, rows(a[name]))) == sorted(map(str, rows(b[name].select(*a[name].columns))))
 
 
@@ -162,7 +162,7 @@ def test_run_report_writes_every_answer(spark, citations_path, tmp_path):
     from facets.plans.citations import run_citation_report
 
     paths = run_citation_report(spark, citations_path, str(tmp_path / "out"), landed_path=str(tmp_path / "landed"))
-    assert "check_nulls" in paths and "fines" in paths and "top3_per_bin" in paths
+    assert "check_nulls" in paths and "fines" in paths and "per_bin_top_codes" in paths
     fines = rows(spark.read.parquet(paths["fines"]).orderBy("Violation_Code"))
     assert fines == [(14, 2, 115, 230), (21, 3, 55, 165), (46, 4, None, None)]
 

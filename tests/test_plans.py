@@ -23,7 +23,7 @@ def test_top_k_is_take_ordered(spark):
 
 
 def test_per_group_top_k_limits_before_shuffle(spark):
-    df = QUERIES["top3_per_bin"](spark, SF001)
+    df = QUERIES["per_bin_top_codes"](spark, SF001)
     s = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in s
 

@@ -61,27 +61,27 @@ def test_report_matches_model(raw):
     for b in sorted({x["bin"] for x in binned}):
         top = ranked(Counter(x["code"] for x in binned if x["bin"] == b), 3)
         per_bin += [(b, c, n, i + 1) for i, (c, n) in enumerate(top)]
-    assert sorted(rows(r["top3_per_bin"])) == sorted(per_bin)
-    assert rows(r["top3_codes_binned"]) == ranked(Counter(x["code"] for x in binned), 3)
+    assert sorted(rows(r["per_bin_top_codes"])) == sorted(per_bin)
+    assert rows(r["top_codes_binned"]) == ranked(Counter(x["code"] for x in binned), 3)
     assert sorted(rows(r["season_counts"])) == sorted(Counter(x["season"] for x in m).items())
     per_season = []
     for s in sorted({x["season"] for x in m}):
         top = ranked(Counter(x["code"] for x in m if x["season"] == s), 3)
         per_season += [(s, c, n, i + 1) for i, (c, n) in enumerate(top)]
-    assert sorted(rows(r["top3_per_season"])) == sorted(per_season)
+    assert sorted(rows(r["per_season_top_codes"])) == sorted(per_season)
     top3 = ranked(Counter(x["code"] for x in m), 3)
-    assert rows(r["top3_codes"]) == top3
-    assert rows(r["top3_total"]) == [(sum(n for _, n in top3),)]
+    assert rows(r["top_codes"]) == top3
+    assert rows(r["top_codes_total"]) == [(sum(n for _, n in top3),)]
     fines = {21: 55, 38: 50, 14: 115}
     assert sorted(rows(r["fines"])) == sorted((c, n, fines.get(c), n * fines[c] if c in fines else None)
                                               for c, n in top3)
     top_codes = {c for c, _ in ranked(Counter(x["code"] for x in binned), 3)}
     pairs = Counter((x["code"], x["bin"]) for x in binned if x["code"] in top_codes)
-    assert sorted(rows(r["bins_of_top3_codes"])) == sorted((c, b, n) for (c, b), n in pairs.items())
+    assert sorted(rows(r["bins_of_top_codes"])) == sorted((c, b, n) for (c, b), n in pairs.items())
     mode = {}
     for c in top_codes:
         (b, n), = ranked(Counter(x["bin"] for x in binned if x["code"] == c), 1)
         mode[c] = (b, n)
-    assert {c: (b, n) for c, b, n in rows(r["mode_bin_of_top3_codes"])} == mode
+    assert {c: (b, n) for c, b, n in rows(r["mode_bin_of_top_codes"])} == mode
     assert rows(r["distinct_summons"]) == [(len(m), len({x["summons"] for x in m}), True)]
     assert rows(r["unique_states"]) == [(len({x["state"] for x in m if x["state"] is not None}),)]
