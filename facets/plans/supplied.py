@@ -12,6 +12,7 @@ Parquet files; output column names and types agree by construction.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Callable
@@ -59,7 +60,15 @@ from facets.operators import (
     with_clock_hours,
     year_profile,
 )
-from facets.sources import load_csv, read_table, register_view, rename_prefix, shared_dir
+from facets.sources import (
+    is_complete,
+    load_csv,
+    path_version,
+    read_table,
+    register_view,
+    rename_prefix,
+    shared_dir,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,12 +502,17 @@ def q_csv_source(spark, sf_dir):
     """Headed CSV read with a declared schema and ``MM/dd/yyyy`` dates.
 
     The CSV is written by Spark from the whole ``orders`` table into the
-    shared ``spark.checkpoint.dir`` (a fresh folder per call), then read back
-    through ``load_csv`` - no inference pass, dates parsed by layout."""
-    path = os.path.join(shared_dir(spark), f"facets-csv-{uuid.uuid4().hex}")
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy").alias("o_orderdate"), "o_orderpriority")
-    o.write.option("header", True).csv(path)
+    shared ``spark.checkpoint.dir`` - once per version of the source table -
+    then read back through ``load_csv``: no inference pass, dates parsed by
+    layout."""
+    src = os.path.join(sf_dir, "orders.parquet")
+    tag = f"{hashlib.sha1(os.path.abspath(src).encode()).hexdigest()[:12]}-{path_version(spark, src)}"
+    path = os.path.join(shared_dir(spark), "facets-csv", tag, "orders")
+    if not is_complete(spark, path):  # landed once per version of the source table
+        o = read_table(spark, sf_dir, "orders").select(
+            "o_orderkey", F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy").alias("o_orderdate"),
+            "o_orderpriority")
+        o.write.mode("overwrite").option("header", True).csv(path)
     df = load_csv(spark, path, "o_orderkey bigint, o_orderdate date, o_orderpriority string",
                   date_columns=("o_orderdate",), date_formats=("MM/dd/yyyy", "yyyy-MM-dd"))
     return frequency(df.select(F.year("o_orderdate").alias("o_year"), "o_orderpriority"), ["o_year", "o_orderpriority"])

@@ -59,3 +59,21 @@ def land_parquet(df: DataFrame, path: str | None = None, partition_by: tuple[str
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_version(spark: SparkSession, path: str) -> int:
+    """Modification time of ``path`` as the storage reports it (any Hadoop FS)."""
+    p, fs = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` finished (its ``_SUCCESS`` marker exists)."""
+    p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    return bool(fs.exists(p))
