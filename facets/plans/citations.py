@@ -230,11 +230,3 @@ def run_citation_report(spark: SparkSession, csv_path: str, out_dir: str, *, lan
     landed = land_cleaned(clean_citations(raw, **clean_kw), landed_path)
     paths.update(write_report(citation_report(landed), out_dir))
     return paths
-
-
-if __name__ == "__main__":  # spark-submit facets/plans/citations.py CSV OUT_DIR
-    import sys
-
-    session = SparkSession.builder.appName("facets-citations").getOrCreate()
-    for name, path in run_citation_report(session, sys.argv[1], sys.argv[2]).items():
-        print(name, path)

@@ -198,3 +198,19 @@ def test_names_resolve_case_insensitively_s14(spark, raw):
     # every kept row has a different month (Jan..Nov, no September or December)
     assert rows(out) == [(m, 1) for m in (1, 2, 3, 4, 5, 6, 7, 8, 10, 11)]
 
+
+
+def test_command_line_report(citations_path, tmp_path):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    out = tmp_path / "cli"
+    res = subprocess.run([sys.executable, "-m", "facets", "report", citations_path, str(out),
+                          "--landed", str(tmp_path / "landed"), "--clock-policy", "standard"],
+                         cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    names = {line.split("\t")[0] for line in res.stdout.splitlines() if "\t" in line}
+    assert {"check_nulls", "fines", "per_bin_top_codes", "frequency_tables"} <= names
+    assert (out / "fines" / "_SUCCESS").exists()
