@@ -19,14 +19,20 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facets.operators.rank import top_k
+from facets.operators.rank import frequency, top_k
 
 
 def priced_top_k(df: DataFrame, key: str, k: int, rates: Mapping | DataFrame, *, rate: str = "fine",
-                 total: str = "total_fines", name: str = "n", how: str = "left") -> DataFrame:
+                 total: str = "total_fines", name: str = "n", how: str = "left",
+                 by: str | None = None) -> DataFrame:
+    """Counts of the k most frequent keys times their rate. With ``by``,
+    ``df`` is a count cube holding ``key`` (rolled up first)."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    top = top_k(df, key, k, name=name)
+    if by is not None:
+        top = top_k(frequency(df, key, by=by, name=name), key, k, by=name)
+    else:
+        top = top_k(df, key, k, name=name)
     if isinstance(rates, Mapping):
         lookup = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])
         out = top.withColumn(rate, lookup[F.col(key)])
@@ -38,6 +44,8 @@ def priced_top_k(df: DataFrame, key: str, k: int, rates: Mapping | DataFrame, *,
     return out.withColumn(total, F.col(name) * F.col(rate))
 
 
-def total_of_top_k(df: DataFrame, key: str, k: int, *, name: str = "n", total: str = "total") -> DataFrame:
+def total_of_top_k(df: DataFrame, key: str, k: int, *, name: str = "n", total: str = "total",
+                   by: str | None = None) -> DataFrame:
     """Sum of the counts of the k most frequent keys (a query over a query)."""
-    return top_k(df, key, k, name=name).agg(F.sum(name).alias(total))
+    top = top_k(frequency(df, key, by=by, name=name), key, k, by=name) if by else top_k(df, key, k, name=name)
+    return top.agg(F.sum(name).alias(total))

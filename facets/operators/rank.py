@@ -47,12 +47,24 @@ def _count(mode: str, keys: list[str]) -> Column:
     return F.count(F.col(mode))
 
 
-def frequency(df: DataFrame, keys: Keys, count: str | Mapping[str, str] = "rows", name: str = "n") -> DataFrame:
+def frequency(df: DataFrame, keys: Keys, count: str | Mapping[str, str] = "rows", name: str = "n", *,
+              by: str | None = None) -> DataFrame:
     """Rows per key. ``count`` is ``"rows"`` (SQL ``count(*)``), ``"key"``
     (``count(key)``) or a column name; a mapping ``{out_name: mode}`` yields
-    several counts from the same single aggregate."""
+    several counts from the same single aggregate.
+
+    With ``by``, ``df`` is already counted (e.g. a (group, key) count cube)
+    and the counts are rolled up by summing ``by`` - same numbers, read from
+    a table of a few rows instead of the data."""
     ks = _keys(keys)
     measures = {name: count} if isinstance(count, str) else dict(count)
+    if by is not None:
+        def rolled(mode):
+            if mode == "rows":
+                return F.sum(by)
+            col = ks[0] if mode == "key" else mode
+            return F.coalesce(F.sum(F.when(F.col(col).isNotNull(), F.col(by))), F.lit(0).cast("bigint"))
+        return df.groupBy(*ks).agg(*[rolled(m).alias(out) for out, m in measures.items()])
     return df.groupBy(*ks).agg(*[_count(m, ks).alias(out) for out, m in measures.items()])
 
 
@@ -62,6 +74,9 @@ def _order(keys: list[str], by: str, descending: bool) -> list[Column]:
 
 
 def _measured(df, keys, by, count, name):
+    """(df counted by ``keys``, name of its count). A frame counted at a finer
+    grain (``by`` names its count but ``keys`` do not cover its grain) must
+    be rolled up first: pass it through ``frequency(..., by=...)``."""
     if by is not None:
         return df, by
     return frequency(df, keys, count, name), name
@@ -116,7 +131,7 @@ def top_k_per_group(df: DataFrame, group: Keys, keys: Keys, k: int, *, by: str |
 
 
 def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k: int, *,
-                        name: str = "n", rank: str = "rank") -> DataFrame:
+                        name: str = "n", rank: str = "rank", by: str | None = None) -> DataFrame:
     """Top k keys inside each of the ``n_groups`` largest groups.
 
     Plan: group sizes are a per-group count (partial aggregate; the shuffle
@@ -128,6 +143,11 @@ def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k:
     rows reach the pair shuffle.
     """
     ks = _keys(keys)
+    if by is not None:  # df is a (group, keys) count cube
+        sizes = frequency(df, group, by=by, name=name)
+        top_groups = top_k(sizes, group, n_groups, by=name).select(group)
+        kept = df.join(F.broadcast(top_groups), group, "left_semi")
+        return top_k_per_group(kept, group, ks, k, by=by, rank=rank)
     top_groups = top_k(df, group, n_groups).select(group)
     kept = df.join(F.broadcast(top_groups), group, "left_semi")
     return top_k_per_group(kept, group, ks, k, name=name, rank=rank)
@@ -143,9 +163,14 @@ def common_keys(ranked: DataFrame, group: str, key: str, name: str = "n_groups")
             .where(F.col(name) == n_all))
 
 
-def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows") -> DataFrame:
-    """Rows whose key is among the k most frequent (a computed ``IN`` list)."""
-    top = top_k(df, key, k, count=count).select(key)
+def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *,
+                         by: str | None = None) -> DataFrame:
+    """Rows whose key is among the k most frequent (a computed ``IN`` list).
+    With ``by``, ``df`` is a count cube and key totals are its sums."""
+    if by is not None:
+        top = top_k(frequency(df, key, by=by, name="_n"), key, k, by="_n").select(key)
+    else:
+        top = top_k(df, key, k, count=count).select(key)
     return df.join(F.broadcast(top), key, "left_semi")
 
 
@@ -164,9 +189,10 @@ def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataF
     return frequency(long, ["column_name", "value"], "rows", name)
 
 
-def mode_group(df: DataFrame, key: str, group: str, name: str = "n") -> DataFrame:
-    """For every key, its most common group (ties: smallest group first)."""
-    pair = frequency(df, [key, group], "rows", name)
+def mode_group(df: DataFrame, key: str, group: str, name: str = "n", *, by: str | None = None) -> DataFrame:
+    """For every key, its most common group (ties: smallest group first).
+    With ``by``, ``df`` is already a (key, group) count cube."""
+    pair = frequency(df, [key, group], "rows", name, by=by)
     best = F.min(F.struct((-F.col(name)).alias("neg"), F.col(group).alias("g")))
     return (pair.groupBy(key).agg(best.alias("_best"))
             .select(key, F.col("_best.g").alias(group), (-F.col("_best.neg")).alias(name)))

@@ -2,8 +2,8 @@
 
 from facets.sources.csv import load_csv, parse_date
 from facets.sources.names import normalize_names, rename_prefix
-from facets.sources.parquet import TABLES, is_complete, land_parquet, path_version, read_table, shared_dir
+from facets.sources.parquet import TABLES, is_complete, land_parquet, materialize, path_version, read_table, shared_dir
 from facets.sources.views import register_view
 
 __all__ = ["load_csv", "parse_date", "normalize_names", "rename_prefix", "TABLES", "land_parquet",
-           "read_table", "shared_dir", "register_view", "path_version", "is_complete"]
+           "read_table", "shared_dir", "register_view", "path_version", "is_complete", "materialize"]

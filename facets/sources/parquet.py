@@ -61,6 +61,17 @@ def land_parquet(df: DataFrame, path: str | None = None, partition_by: tuple[str
     return spark.read.parquet(path)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: a reliable ``checkpoint()``
+    into the shared ``spark.checkpoint.dir`` (never ``localCheckpoint``, whose
+    blocks die with their executor). Meant for small intermediate results
+    that several answers read, such as count cubes."""
+    from facets.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
