@@ -96,3 +96,28 @@ def test_salted_first_level_when_partial_limit_is_off(spark):
         assert "xxhash64" in plan
     finally:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+
+
+def test_cube_answers_equal_direct_answers(spark):
+    from conftest import SF001
+
+    from facets.operators import priced_top_k, total_of_top_k
+    from facets.plans.supplied import binned_events
+
+    b = binned_events(spark, SF001)
+    cube = frequency(b, ["time_bin", "event_type"])
+
+    def same(x, y):
+        assert sorted(map(str, rows(x))) == sorted(map(str, rows(y)))
+
+    same(frequency(b, "time_bin", count="event_type"), frequency(cube, "time_bin", count="event_type", by="n"))
+    same(frequency(b, "event_type", count="key"), frequency(cube, "event_type", count="key", by="n"))
+    same(top_k_per_group(b, "time_bin", "event_type", 2), top_k_per_group(cube, "time_bin", "event_type", 2, by="n"))
+    same(top_k_in_top_groups(b, "time_bin", "event_type", 2, 2),
+         top_k_in_top_groups(cube, "time_bin", "event_type", 2, 2, by="n"))
+    same(frequency(restrict_to_top_keys(b, "event_type", 3), ["time_bin", "event_type"]),
+         restrict_to_top_keys(cube, "event_type", 3, by="n"))
+    same(mode_group(b, "event_type", "time_bin"), mode_group(cube, "event_type", "time_bin", by="n"))
+    rates = {"click": 115, "view": 50}
+    same(priced_top_k(b, "event_type", 3, rates), priced_top_k(cube, "event_type", 3, rates, by="n"))
+    same(total_of_top_k(b, "event_type", 3), total_of_top_k(cube, "event_type", 3, by="n"))
