@@ -171,7 +171,7 @@ def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *
         top = top_k(frequency(df, key, by=by, name="_n"), key, k, by="_n").select(key)
     else:
         top = top_k(df, key, k, count=count).select(key)
-    return df.join(F.broadcast(top), key, "left_semi")
+    return df.join(F.broadcast(top), key, "left_semi").select(*df.columns)
 
 
 def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:

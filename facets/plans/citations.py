@@ -189,7 +189,7 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
         "bin_counts": frequency(bin_cube, "Time_Bins", count=code, by="n"),
         "per_bin_top_codes": top_k_per_group(bin_cube, "Time_Bins", code, 3, by="n"),
         "top_codes_binned": top_k(binned_codes, code, 3, by="n"),
-        "bins_of_top_codes": top_binned.select(code, "Time_Bins", "n"),
+        "bins_of_top_codes": top_binned.select(code, "Time_Bins", "n"),  # column order of the direct form
         "mode_bin_of_top_codes": mode_group(top_binned, code, "Time_Bins", by="n"),
         "season_counts": frequency(season_cube, "Seasons", count=code, by="n"),
         "per_season_top_codes": top_k_per_group(season_cube, "Seasons", code, 3, by="n"),
