@@ -2,18 +2,26 @@
 
 The reference lets Spark infer the schema, which costs a full extra pass over
 the file and turns ``MM/dd/yyyy`` dates into text. Here the schema is
-declared; ``date_formats`` lists the layouts a date column may use, tried in
-order with ``try_to_date`` so one malformed value becomes NULL rather than
-failing an ANSI job. ``infer=True`` keeps the reference behaviour available.
+declared, but applied **by header name**, not by position: every column is
+read as text (Spark only reads the header line for the names), the declared
+columns are picked by name - so a file with more columns, or in another
+order, loads correctly - and each is converted with ``try_cast`` (a bad
+value becomes NULL, as Spark's PERMISSIVE CSV mode does, instead of failing
+an ANSI job). ``date_columns`` are parsed with the listed layouts, tried in
+order. ``infer=True`` keeps the reference behaviour available.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def as_struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+
+
 def load_csv(
     spark: SparkSession,
     path: str,
@@ -24,22 +32,30 @@ def load_csv(
     **options,
 ) -> DataFrame:
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
-    if schema is None and not infer:
-        raise ValueError("declare a schema, or pass infer=True")
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    if isinstance(schema, str):
-        schema = spark.createDataFrame([], schema).schema
-    # Date columns are read as text, then parsed with the listed layouts.
-    read_schema = T.StructType([
-        T.StructField(f.name, T.StringType(), True) if f.name in date_columns else f for f in schema.fields
-    ])
-    df = reader.schema(read_schema).csv(path)
-    if date_columns:
-        df = df.withColumns({c: parse_date(F.col(c), date_formats) for c in date_columns})
-    return df
-
-
-def parse_date(c, formats: tuple[str, ...]):
+    if schema is None:
+        raise ValueError("declare a schema, or pass infer=True")
+    return typed_from_text(reader.csv(path), as_struct(spark, schema), date_columns, date_formats)
+
+
+def typed_from_text(text: DataFrame, schema: T.StructType, date_columns: tuple[str, ...] = (),
+                    date_formats: tuple[str, ...] = ("yyyy-MM-dd",)) -> DataFrame:
+    """Pick the declared columns of an all-text frame by name and type them."""
+    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"columns not in the file header: {missing}")
+    cols = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.name in date_columns:
+            c = parse_date(c, date_formats)
+        elif not isinstance(f.dataType, T.StringType):
+            c = c.try_cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return text.select(*cols)
+
+
+def parse_date(c: Column, formats: tuple[str, ...]) -> Column:
     """First layout in ``formats`` that parses ``c``; NULL if none does."""
     return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])

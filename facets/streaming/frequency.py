@@ -19,18 +19,30 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from facets.operators import frequency, top_k
 from facets.plans.citations import CITATIONS_SCHEMA, STATE_FILL, clean_citations
 from facets.sources import shared_dir
+from facets.sources.csv import typed_from_text
 
 
-def citation_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(CITATIONS_SCHEMA).option("header", True)
+def citation_stream(spark: SparkSession, source_dir: str, header: list[str] | None = None,
+                    max_files_per_trigger: int | None = None, date_formats=("yyyy-MM-dd",)) -> DataFrame:
+    """Citation files arriving in ``source_dir``, typed like ``load_citations``.
+
+    A file stream needs its full column list up front; ``header`` gives it,
+    or it is read from the header line of a file already in the folder. All
+    columns stream as text and the citation columns are picked by name, so
+    files with extra columns load correctly."""
+    if header is None:
+        header = spark.read.option("header", True).csv(source_dir).columns
+    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    reader = spark.readStream.schema(text_schema).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(source_dir)
+    return typed_from_text(reader.csv(source_dir), CITATIONS_SCHEMA, ("Issue Date",), date_formats)
 
 
 def running_counts(stream: DataFrame, keys, state_fill: str = STATE_FILL, **clean_kw) -> DataFrame:
