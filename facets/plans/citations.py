@@ -79,6 +79,9 @@ STATE_FILL = "NY"
 FREQUENCY_COLUMNS = ("Violation_Code", "Vehicle_Body_Type", "Vehicle_Make", "Violation_Precinct",
                      "Issuer_Precinct")
 
+# Text columns whose frequencies come from one shared cube.
+TEXT_COLUMNS = ("Registration_State", "Vehicle_Body_Type", "Vehicle_Make")
+
 # Average fine per violation code (USD).
 FINES = {21: 55, 38: 50, 14: 115}
 
@@ -150,16 +153,23 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
     ``precinct="Issuer_Precinct"`` asks the precinct question as worded
     rather than as coded; ``bins=EQUAL_4H_BINS`` gives six equal bins.
 
-    Aggregate once, answer many: fourteen answers are rankings of three
-    small count cubes - (bin, code), (season, code), (precinct, code) - whose
-    size is bins x codes, seasons x codes and precincts x codes however large
-    the table. Each cube is one scan with a map-side partial count; with
+    Aggregate once, answer many: nineteen answers are rankings of four small
+    count cubes - (bin, code), (season, code), (precinct, code) and the value
+    counts of the state, body-type and make columns - whose size is bins x
+    codes, ..., distinct values, however large the table. Each cube is one scan with a map-side partial count; with
     ``materialize`` it is checkpointed once (reliable, into
     ``spark.checkpoint.dir``) and every answer reads those few rows instead
     of rescanning the table.
     """
     keep = _materialize if materialize else (lambda d: d)
     code = "Violation_Code"
+    text_cube = keep(frequencies(clean, TEXT_COLUMNS))
+
+    def counts_of(column: str) -> DataFrame:
+        """(column, n) for one text column, read from the text cube."""
+        return (text_cube.where(F.col("column_name") == column)
+                .select(F.col("value").alias(column), "n"))
+
     tb_all = time_bins(clean, bins, drop=False)
     tb = time_bins(clean, bins)
     bin_cube = keep(frequency(tb, ["Time_Bins", code]))
@@ -173,13 +183,14 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
         "distinct_summons": uniqueness(clean, "Summons_Number"),
         "date_range": value_range(clean, "Issue_Date"),
         "total_tickets": shape(clean),
-        "unique_states": distinct_values(clean, "Registration_State"),
-        "state_top": top_k(clean, "Registration_State", 6, count="key"),
+        "unique_states": distinct_values(counts_of("Registration_State"), "Registration_State"),
+        "state_top": top_k(frequency(counts_of("Registration_State"), "Registration_State", count="key", by="n"),
+                           "Registration_State", 6, by="n"),
         "code_top": top_k(frequency(precinct_cube, code, count="key", by="n"), code, 6, by="n"),
-        "body_top": top_k(clean, "Vehicle_Body_Type", 5),
-        "body_bottom": bottom_k(clean, "Vehicle_Body_Type", 5),
-        "make_top": top_k(clean, "Vehicle_Make", 5),
-        "make_bottom": bottom_k(clean, "Vehicle_Make", 5),
+        "body_top": top_k(counts_of("Vehicle_Body_Type"), "Vehicle_Body_Type", 5, by="n"),
+        "body_bottom": bottom_k(counts_of("Vehicle_Body_Type"), "Vehicle_Body_Type", 5, by="n"),
+        "make_top": top_k(counts_of("Vehicle_Make"), "Vehicle_Make", 5, by="n"),
+        "make_bottom": bottom_k(counts_of("Vehicle_Make"), "Vehicle_Make", 5, by="n"),
         "violation_precinct_top": top_k(clean, "Violation_Precinct", 6, count="key"),
         "issuer_precinct_top": top_k(clean, "Issuer_Precinct", 6, count="key"),
         "codes_in_top_precincts": precinct_codes,
