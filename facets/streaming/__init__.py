@@ -1,5 +1,12 @@
 """Structured Streaming form of the frequency questions."""
 
-from facets.streaming.frequency import citation_stream, running_counts, start_top_k
+from facets.streaming.frequency import (
+    citation_stream,
+    cube_answers,
+    running_counts,
+    running_cube,
+    start_publishing,
+    start_top_k,
+)
 
-__all__ = ["citation_stream", "running_counts", "start_top_k"]
+__all__ = ["citation_stream", "running_counts", "start_top_k", "running_cube", "cube_answers", "start_publishing"]

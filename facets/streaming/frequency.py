@@ -65,3 +65,49 @@ def start_top_k(counts: DataFrame, key: str, k: int, out_path: str, checkpoint:
               .foreachBatch(publish))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def running_cube(stream: DataFrame, bins=None, state_fill: str = STATE_FILL, **clean_kw) -> DataFrame:
+    """Running (Time_Bins, Violation_Code) counts of a citation stream.
+
+    The streaming state is the count cube itself: one row per (bin, code),
+    bounded by bins x codes whatever the volume. Rows without a valid bin are
+    dropped as the batch report does (``dropna``)."""
+    from facets.functions import REFERENCE_BINS
+    from facets.plans.citations import time_bins
+
+    if state_fill is None:
+        raise ValueError("a stream needs a constant state_fill")
+    clean = clean_citations(stream, state_fill=state_fill, **clean_kw)
+    return frequency(time_bins(clean, bins or REFERENCE_BINS), ["Time_Bins", "Violation_Code"])
+
+
+def cube_answers(cube: DataFrame, k: int = 3) -> dict[str, DataFrame]:
+    """The bin questions of the report, answered from a (bin, code) cube."""
+    from facets.operators import top_k_per_group
+
+    return {
+        "bin_counts": frequency(cube, "Time_Bins", count="Violation_Code", by="n"),
+        "per_bin_top_codes": top_k_per_group(cube, "Time_Bins", "Violation_Code", k, by="n"),
+        "top_codes_binned": top_k(frequency(cube, "Violation_Code", by="n"), "Violation_Code", k, by="n"),
+    }
+
+
+def start_publishing(cube: DataFrame, out_dir: str, answers=cube_answers, checkpoint: str | None = None,
+                     available_now: bool = True) -> StreamingQuery:
+    """Keep ``out_dir/<answer>`` holding every answer of the running cube.
+
+    Each micro-batch's complete cube (a few rows) is turned into the answers
+    by the batch operators and written by the executors; a restart resumes
+    from the checkpoint in the shared folder."""
+    spark = cube.sparkSession
+    checkpoint = checkpoint or os.path.join(shared_dir(spark), "facets-stream-" + os.path.basename(out_dir))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        for name, df in answers(batch).items():
+            df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
+
+    writer = (cube.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+              .foreachBatch(publish))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
