@@ -368,12 +368,15 @@ def q_bin_counts_equal(spark, sf_dir):
     return frequency(drop_incomplete(b, ["time_bin"]), "time_bin", count="event_type")
 
 
-@query("per_bin_top_codes", f"""
+_PER_BIN_TOP_SQL = f"""
 WITH {BINNED_EVENTS_SQL},
 p AS (SELECT time_bin, event_type, count(*) AS n FROM c GROUP BY time_bin, event_type),
 r AS (SELECT time_bin, event_type, n, CAST(row_number() OVER (PARTITION BY time_bin
       ORDER BY n DESC, event_type ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p)
-SELECT * FROM r WHERE "rank" <= 3""")
+SELECT * FROM r WHERE "rank" <= 3"""
+
+
+@query("per_bin_top_codes", _PER_BIN_TOP_SQL)
 def q_per_bin_top_codes(spark, sf_dir):
     return top_k_per_group(binned_events(spark, sf_dir), "time_bin", "event_type", 3)
 
@@ -516,3 +519,23 @@ def q_csv_source(spark, sf_dir):
     df = load_csv(spark, path, "o_orderkey bigint, o_orderdate date, o_orderpriority string",
                   date_columns=("o_orderdate",), date_formats=("MM/dd/yyyy", "yyyy-MM-dd"))
     return frequency(df.select(F.year("o_orderdate").alias("o_year"), "o_orderpriority"), ["o_year", "o_orderpriority"])
+
+
+# --- Structured Streaming ------------------------------------------------------------------
+
+@query("stream_per_bin_top_codes", _PER_BIN_TOP_SQL)
+def q_stream_per_bin_top_codes(spark, sf_dir):
+    """``per_bin_top_codes`` computed by a streaming query: ``events`` read as a
+    file stream, a running (bin, type) count cube as the state (bounded by
+    bins x types), the ranking published by ``foreachBatch`` into the shared
+    folder (fresh per call, checkpoint included) and read back."""
+    from facets.streaming import start_publishing, table_stream
+
+    out = os.path.join(shared_dir(spark), f"facets-stream-{uuid.uuid4().hex}")
+    ev = table_stream(spark, sf_dir, "events")
+    hour = F.hour("ts")
+    b = drop_incomplete(ev.select(hour.alias("hour"), "event_type", bin_column(hour, REFERENCE_BINS).alias("time_bin")))
+    cube = frequency(b, ["time_bin", "event_type"])
+    answers = lambda c: {"per_bin_top_codes": top_k_per_group(c, "time_bin", "event_type", 3, by="n")}
+    start_publishing(cube, out, answers, checkpoint=os.path.join(out, "_checkpoint")).awaitTermination()
+    return spark.read.parquet(os.path.join(out, "per_bin_top_codes"))

@@ -7,6 +7,8 @@ from facets.streaming.frequency import (
     running_cube,
     start_publishing,
     start_top_k,
+    table_stream,
 )
 
-__all__ = ["citation_stream", "running_counts", "start_top_k", "running_cube", "cube_answers", "start_publishing"]
+__all__ = ["citation_stream", "running_counts", "start_top_k", "running_cube", "cube_answers", "start_publishing",
+           "table_stream"]

@@ -28,6 +28,18 @@ from facets.sources import shared_dir
 from facets.sources.csv import typed_from_text
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """One supplied Parquet table as a file stream (schema from its footer).
+
+    A file stream's path is a directory or a glob; the glob matches this
+    table's file alone."""
+    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parque[t]"))
+
+
 def citation_stream(spark: SparkSession, source_dir: str, header: list[str] | None = None,
                     max_files_per_trigger: int | None = None, date_formats=("yyyy-MM-dd",)) -> DataFrame:
     """Citation files arriving in ``source_dir``, typed like ``load_citations``.
