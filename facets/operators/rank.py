@@ -62,6 +62,8 @@ def frequency(df: DataFrame, keys: Keys, count: str | Mapping[str, str] = "rows"
         def rolled(mode):
             if mode == "rows":
                 return F.sum(by)
+            if mode == "key" and len(ks) != 1:
+                raise ValueError("count='key' needs exactly one key")
             col = ks[0] if mode == "key" else mode
             return F.coalesce(F.sum(F.when(F.col(col).isNotNull(), F.col(by))), F.lit(0).cast("bigint"))
         return df.groupBy(*ks).agg(*[rolled(m).alias(out) for out, m in measures.items()])
