@@ -148,7 +148,7 @@ def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k:
     if by is not None:  # df is a (group, keys) count cube
         sizes = frequency(df, group, by=by, name=name)
         top_groups = top_k(sizes, group, n_groups, by=name).select(group)
-        kept = df.join(F.broadcast(top_groups), group, "left_semi")
+        kept = df.join(F.broadcast(top_groups), group, "left_semi").select(*df.columns)
         return top_k_per_group(kept, group, ks, k, by=by, rank=rank)
     top_groups = top_k(df, group, n_groups).select(group)
     kept = df.join(F.broadcast(top_groups), group, "left_semi")
