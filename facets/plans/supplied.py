@@ -63,6 +63,7 @@ from facets.operators import (
 from facets.sources import (
     is_complete,
     load_csv,
+    materialize,
     path_version,
     read_table,
     register_view,
@@ -423,12 +424,15 @@ def q_season_counts(spark, sf_dir):
     return frequency(seasoned_orders(spark, sf_dir), "season", count="o_orderpriority")
 
 
-@query("per_season_top_codes", f"""
+_PER_SEASON_TOP_SQL = f"""
 WITH {SEASONED_ORDERS_SQL},
 p AS (SELECT season, o_orderpriority, count(*) AS n FROM s GROUP BY season, o_orderpriority),
 r AS (SELECT season, o_orderpriority, n, CAST(row_number() OVER (PARTITION BY season
       ORDER BY n DESC, o_orderpriority ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p)
-SELECT * FROM r WHERE "rank" <= 3""")
+SELECT * FROM r WHERE "rank" <= 3"""
+
+
+@query("per_season_top_codes", _PER_SEASON_TOP_SQL)
 def q_per_season_top_codes(spark, sf_dir):
     return top_k_per_group(seasoned_orders(spark, sf_dir), "season", "o_orderpriority", 3)
 
@@ -539,3 +543,22 @@ def q_stream_per_bin_top_codes(spark, sf_dir):
     answers = lambda c: {"per_bin_top_codes": top_k_per_group(c, "time_bin", "event_type", 3, by="n")}
     start_publishing(cube, out, answers, checkpoint=os.path.join(out, "_checkpoint")).awaitTermination()
     return spark.read.parquet(os.path.join(out, "per_bin_top_codes"))
+
+
+# --- count cubes and key counts -------------------------------------------------------------
+
+@query("cube_per_season_top_codes", _PER_SEASON_TOP_SQL)
+def q_cube_per_season_top_codes(spark, sf_dir):
+    """``per_season_top_codes`` the way the report computes it: a (season,
+    priority) count cube checkpointed once, ranked with ``by="n"``."""
+    cube = materialize(frequency(seasoned_orders(spark, sf_dir), ["season", "o_orderpriority"]))
+    return top_k_per_group(cube, "season", "o_orderpriority", 3, by="n")
+
+
+@query("topk_key_count", """
+SELECT NULLIF(o_orderstatus, 'P') AS o_orderstatus, count(NULLIF(o_orderstatus, 'P')) AS n FROM orders
+GROUP BY 1 ORDER BY n DESC, o_orderstatus ASC NULLS FIRST LIMIT 3""")
+def q_topk_key_count(spark, sf_dir):
+    """Top k counted as ``count(key)``: the NULL key's group counts 0 and ranks last."""
+    o = read_table(spark, sf_dir, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+    return top_k(o, "o_orderstatus", 3, count="key")
