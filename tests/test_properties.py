@@ -49,3 +49,32 @@ def test_population_invariants(spark):
         assert sliced[rank - 1] == (et, n)
     shuffled = rows(top_k_per_group(b.repartition(5, "event_type"), "bin", "event_type", 2))
     assert sorted(map(str, per)) == sorted(map(str, shuffled))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(-5, 30), min_size=2, max_size=7, unique=True),
+       st.lists(st.sampled_from([x / 2 for x in range(-12, 64)]), min_size=1, max_size=30),
+       st.booleans())
+def test_bin_spec_spark_duckdb_python_agree(spark, edges, values, first_closed):
+    import duckdb
+
+    from facets.functions import Bin, bin_case_sql
+
+    edges = sorted(edges)
+    spec = tuple(Bin(f"b{i}", lo, hi, low_closed=(first_closed and i == 0))
+                 for i, (lo, hi) in enumerate(zip(edges, edges[1:])))
+
+    def py(v):
+        for b in spec:
+            lo_ok = v >= b.low if b.low_closed else v > b.low
+            hi_ok = v <= b.high if b.high_closed else v < b.high
+            if lo_ok and hi_ok:
+                return b.label
+        return None
+
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = [r[0] for r in df.select(bin_column("v", spec)).collect()]
+    con = duckdb.connect()
+    duck = [r[0] for r in con.execute(
+        f"SELECT {bin_case_sql('v', spec)} FROM (SELECT unnest(?::DOUBLE[]) AS v)", [values]).fetchall()]
+    assert got == duck == [py(v) for v in values]
