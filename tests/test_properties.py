@@ -78,3 +78,19 @@ def test_bin_spec_spark_duckdb_python_agree(spark, edges, values, first_closed):
     duck = [r[0] for r in con.execute(
         f"SELECT {bin_case_sql('v', spec)} FROM (SELECT unnest(?::DOUBLE[]) AS v)", [values]).fetchall()]
     assert got == duck == [py(v) for v in values]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789AP.", max_size=6)), min_size=1, max_size=40),
+       st.sampled_from(["as_written", "standard"]))
+def test_clock_sql_twin_agrees_with_spark(spark, texts, policy):
+    import duckdb
+
+    from facets.functions import clock12_sql
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse_clock12("t", policy)).collect()]
+    con = duckdb.connect()
+    duck = [r[0] for r in con.execute(
+        f"SELECT {clock12_sql('t', policy)} FROM (SELECT unnest(?::VARCHAR[]) AS t)", [texts]).fetchall()]
+    assert got == duck
