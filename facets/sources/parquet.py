@@ -21,15 +21,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Schemas already read, keyed by path (and modification time when the path is
-# local): a catalog's job. Without it every ``spark.read.parquet`` runs a
-# Spark job just to read a footer before the query itself starts.
-_SCHEMAS: dict[tuple[str, float | None], T.StructType] = {}
+# Schemas already read, keyed by path and modification time (as the storage
+# reports it, local or shared): a catalog's job. Without it every
+# ``spark.read.parquet`` runs a Spark job just to read a footer before the
+# query itself starts.
+_SCHEMAS: dict[tuple[str, int], T.StructType] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else None)
+    key = (path, path_version(spark, path))
     schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
