@@ -21,6 +21,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.session.timeZone": "UTC",
+    # checkpointed count cubes are removed once no DataFrame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
