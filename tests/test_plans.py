@@ -49,3 +49,16 @@ def test_clock_parser_not_inlined_into_bin_filter(spark):
     assert "Generate inline" in p
     filt = [ln for ln in p.splitlines() if "atleastnnonnulls" in ln]
     assert filt and all("date_format" not in ln for ln in filt)
+
+
+def test_citation_chain_plans(spark, raw):
+    from facets.plans.citations import clean_citations, time_bins
+
+    clean = clean_citations(raw)
+    landing = clean.sortWithinPartitions("Issue_Date")
+    lp = landing._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [Issue_Date" in lp and "Exchange" not in lp          # per-task sort, no shuffle
+    tb = time_bins(clean)
+    tp = tb._jdf.queryExecution().optimizedPlan().toString()
+    filt = [ln for ln in tp.splitlines() if "atleastnnonnulls" in ln]
+    assert filt and all("substring" not in ln for ln in filt)        # parser bound, not inlined
