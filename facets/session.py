@@ -12,14 +12,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings we rely on at scale; all are Spark's own knobs.
+# Settings we rely on at scale; all are Spark's own knobs. Sizing for 100 TB of
+# Parquet (README "Sizing"): 256 MB splits give ~400k scan tasks; the largest
+# shuffle is the exact distinct-key check (~10^12 keys, ~20 TB), which wants
+# ~80k partitions of ~256 MB, while frequency shuffles are a few GB. So AQE
+# starts every shuffle at 80k partitions and coalesces the small ones.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "80000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.shuffle.partitions": "8000",
     "spark.sql.session.timeZone": "UTC",
     # checkpointed count cubes are removed once no DataFrame refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
