@@ -111,7 +111,9 @@ def start_publishing(cube: DataFrame, out_dir: str, answers=cube_answers, checkp
 
     Each micro-batch's complete cube (a few rows) is turned into the answers
     by the batch operators and written by the executors; a restart resumes
-    from the checkpoint in the shared folder."""
+    from the checkpoint in the shared folder. Answers are overwritten, so a
+    micro-batch replayed after a failure writes the same result again
+    (idempotent sink)."""
     spark = cube.sparkSession
     checkpoint = checkpoint or os.path.join(shared_dir(spark), "facets-stream-" + os.path.basename(out_dir))
 
