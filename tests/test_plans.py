@@ -62,3 +62,13 @@ def test_citation_chain_plans(spark, raw):
     tp = tb._jdf.queryExecution().optimizedPlan().toString()
     filt = [ln for ln in tp.splitlines() if "atleastnnonnulls" in ln]
     assert filt and all("substring" not in ln for ln in filt)        # parser bound, not inlined
+
+
+def test_report_reads_the_table_only_where_it_must(spark, raw, tmp_path):
+    from facets.plans.citations import citation_report, clean_citations, land_cleaned
+
+    landed = land_cleaned(clean_citations(raw), str(tmp_path / "landed"))
+    report = citation_report(landed)
+    scanning = sorted(name for name, df in report.items()
+                      if "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString())
+    assert scanning == ["date_range", "distinct_summons", "unbinned"]   # the rest read checkpointed cubes
