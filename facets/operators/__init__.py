@@ -11,6 +11,7 @@ from facets.operators.clean import (
 from facets.operators.derive import with_bound_columns
 from facets.operators.estimate import priced_top_k, total_of_top_k
 from facets.operators.profile import (
+    check_counts,
     distinct_values,
     duplicates,
     null_count,
@@ -40,7 +41,7 @@ from facets.operators.report import chart_rows
 __all__ = [
     "keep_year", "drop_sentinels", "replace_sentinel", "replace_with_mode", "with_clock_hours",
     "drop_incomplete", "priced_top_k", "total_of_top_k", "shape", "structure", "null_profile",
-    "sentinel_profile", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
+    "sentinel_profile", "check_counts", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
     "null_count", "unbinned", "frequency", "frequencies", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
     "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows", "with_bound_columns",
 ]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facets.functions.compare import matches
@@ -51,6 +51,15 @@ def sentinel_profile(df: DataFrame, sentinels: Mapping[str, object]) -> DataFram
     return _long(one, cols, "n_match")
 
 
+def check_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """Rows satisfying each named predicate, every check from one aggregate:
+    (check, n). Null checks, placeholder checks and any other conditional
+    count share a single pass (a NULL predicate counts as not satisfied)."""
+    names = list(checks)
+    one = df.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(n) for n, p in checks.items()])
+    return one.unpivot([], names, "check", "n")
+
+
 def year_profile(df: DataFrame, date_col: str, name: str = "year", count: str = "key") -> DataFrame:
     """Rows per calendar year of ``date_col`` (``count='key'`` as the
     reference's ``n(Issue_year)``: an undated group counts 0)."""
