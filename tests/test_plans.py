@@ -72,3 +72,11 @@ def test_report_reads_the_table_only_where_it_must(spark, raw, tmp_path):
     scanning = sorted(name for name, df in report.items()
                       if "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString())
     assert scanning == ["date_range", "distinct_summons", "unbinned"]   # the rest read checkpointed cubes
+
+
+def test_quality_checks_read_the_file_twice(spark, raw):
+    from facets.plans.citations import quality_checks
+
+    q = quality_checks(raw)   # materializes the year cube and the check counts: two CSV passes
+    for name, df in q.items():
+        assert "FileScan csv" not in df._jdf.queryExecution().executedPlan().toString(), name

@@ -52,3 +52,16 @@ def test_priced_top_k_dict_and_table_agree(spark):
     left = {r[0]: r[3] for r in rows(priced_top_k(df, "code", 3, partial))}
     assert left == {21: 275, 38: None, 14: None}
     assert rows(priced_top_k(df, "code", 3, partial, how="inner"))[0][0] == 21
+
+
+def test_check_counts_one_aggregate(spark):
+    from pyspark.sql import functions as F
+
+    from facets.operators import check_counts
+
+    df = spark.createDataFrame([(1, "0"), (None, "x"), (0, None)], "a int, b string")
+    out = check_counts(df, {"a null": F.col("a").isNull(), "a zero": F.col("a") == 0,
+                            "b numeric": F.col("b").try_cast("int").isNotNull()})
+    assert as_dict(out, "check", "n") == {"a null": 1, "a zero": 1, "b numeric": 1}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 1   # one pass over the input
