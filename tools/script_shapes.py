@@ -19,17 +19,14 @@ from pyspark.sql import functions as F
 from facets.functions import REFERENCE_BINS, SEASONS, bin_column
 from facets.operators import (
     bottom_k,
+    check_counts,
     distinct_values,
     drop_sentinels,
     frequencies,
     frequency,
     mode_group,
-    null_count,
-    null_profile,
     priced_top_k,
     restrict_to_top_keys,
-    sentinel_profile,
-    shape,
     top_k,
     top_k_in_top_groups,
     top_k_per_group,
@@ -137,7 +134,7 @@ def consolidated(spark, sf_dir: str) -> int:
     priorities = frequency(c["order"], "o_orderpriority", count="key", by="n")
     top_binned = restrict_to_top_keys(c["bin"], "event_type", 3, by="n")
     answers = [
-        shape(li), sentinel_profile(li, {col: 0 for col in ZERO_CHECKED}),
+        check_counts(li, {"rows": F.lit(True), **{f"zero|{col}": F.col(col) == 0 for col in ZERO_CHECKED}}),
         frequency(c["order"], "year", count="key", by="n"),
         frequency(c["order"].where(F.col("year") == 1998), "year", count="key", by="n"),
         top_k(priorities, "o_orderpriority", 6, by="n"),
@@ -149,7 +146,7 @@ def consolidated(spark, sf_dir: str) -> int:
         top_k(frequency(c["precinct"], "l_suppkey", count="key", by="n"), "l_suppkey", 6, by="n"),
         top_k(lic, "l_partkey", 6, count="key"),
         top_k_in_top_groups(c["precinct"], "l_suppkey", "l_linenumber", 3, 6, by="n"),
-        null_profile(ev), null_count(ev, "ts"), unbinned(raw_bins, "b"),
+        check_counts(ev, {f"null|{col}": F.col(col).isNull() for col in ev.columns}), unbinned(raw_bins, "b"),
         frequency(c["bin"], "time_bin", count="event_type", by="n"),
         top_k_per_group(c["bin"], "time_bin", "event_type", 3, by="n"),
         top_binned, mode_group(top_binned, "event_type", "time_bin", by="n"),
