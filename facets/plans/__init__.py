@@ -1 +1,8 @@
-"""Whole analyses composed from the operators."""
+"""Whole analyses composed from the operators.
+
+* ``citations``: the citation analysis end to end - ``load_citations``,
+  ``quality_checks``, ``clean_citations``, ``land_cleaned``,
+  ``citation_report``, ``register_citation_views``, ``run_citation_report``.
+* ``supplied``: the same questions on the supplied tables (``QUERIES``), each
+  paired with DuckDB SQL (``ORACLE``) for the cross-engine check.
+"""
