@@ -110,13 +110,15 @@ def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tup
         first = last
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the row it belongs to."""
+def word_spans(data: np.ndarray, offs: np.ndarray,
+               breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the row it belongs to. ``breaks``
+    tells for each byte value whether it separates words."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~_IS_SPACE[data]
+    word = ~breaks[data]
     edge = np.zeros(n + 1, bool)  # a text starts here
     edge[offs] = True
     before = np.empty(n, bool)
@@ -130,6 +132,15 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capitals U+00C0 to U+00DE lower-cased."""
+    out = _LOWER[data]
+    if len(out) > 1:
+        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][latin] += 0x20
+    return out
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
     """64-bit hash of each word's bytes (A-Z lower-cased): a polynomial over
     the bytes taken from prefix sums, then mixed."""

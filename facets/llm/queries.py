@@ -4,18 +4,67 @@ its whole table with production parameters, and their DuckDB twins."""
 from __future__ import annotations
 
 import functools
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from facets.llm import exact_dedup, minhash
-from facets.llm.common import documents, ship_package
+from facets.llm import bpe, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
+from facets.llm.common import documents, in_fold, read_table, ship_package
+
+
+def default_vocabulary() -> str:
+    """Path of the installed public vocabulary of lower-cased words."""
+    return str(importlib.import_module("public_tokenizers").path("word_bpe_49k.json"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chain = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    score = F.col("p_toxic")
+    return toxicity.predict(docs, chain).select(
+        "doc_id", score.alias("score"), (score >= 0.5).cast("int").alias("toxic"), (score < 0.5).alias("kept"),
+        "p_insult", "p_contempt")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, sf_dir), default_vocabulary(), result=bpe.DIGESTS)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(documents(spark, sf_dir))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(documents(spark, sf_dir), mixing.cyclic_weights(5, 2, 1))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"), learn=~in_fold("doc_id", 3, 1))
+    return quality.score(docs, model).select(
+        "doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs, learn=~in_fold("doc_id", 5, 0))
+    return langid.identify(docs, model).select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(documents(spark, sf_dir))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
@@ -34,12 +83,12 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {name: _ready(query) for name, query in {
-    "op8_exact_dedup": op8_exact_dedup,
-    "op10_minhash": op10_minhash,
-}.items()}
+QUERIES: dict[str, Query] = {q.__name__: _ready(q) for q in (
+    op1_toxicity, op2_bpe, op3_line_dedup, op4_mixing, op5_quality, op6_url_filter, op7_langid, op8_exact_dedup, op9_fingerprints,
+    op10_minhash)}
 
 ORACLE: dict[str, str] = {
+    "op3_line_dedup": line_dedup.oracle_sql(),
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_minhash": minhash.ORACLE_SQL,
 }
