@@ -54,7 +54,7 @@ def capped_targets(sizes: list[int], weights: list[float], cap: float, total: fl
                 targets[i] = weights[i] * unit
             break
         for i in over:
-            targets[i] = cap * sizes[i]
+            targets[i] = float(cap * sizes[i])
             left -= targets[i]
         free = [i for i in free if i not in set(over)]
     return targets
@@ -150,7 +150,8 @@ def mix(docs: DataFrame, weights: Callable[[list[str | None]], list[float]], id_
     belongs to none and is not taken. Null or empty texts have size 0. The
     order in which documents get a further copy depends on ``seed`` and the id
     alone, so reruns agree; repeated ids are ordered by size and text, null ids
-    share one place. An empty table gives no rows and no sources.
+    share one place. An empty table gives no rows and no sources. Column names
+    that start with ``_mix_`` are reserved.
     """
     spark = docs.sparkSession
     own = F.col(f"`{source_col}`")

@@ -91,8 +91,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     # a bounded number of (id, label) pairs
     chosen = (rows.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id", "_label").limit(fit_rows))
-    found = features(docs.join(F.broadcast(chosen.select("_id").distinct()), F.col(id_col) == F.col("_id"), "left_semi"), id_col, text_col)
-    table = found.join(F.broadcast(chosen), found["doc_id"] == F.col("_id")).select("doc_id", "features", "_label").toArrow()
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = features(texts.join(F.broadcast(chosen.select("_id").distinct()), F.col("doc_id") == F.col("_id"), "left_semi"))
+    table = found.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "features", "_label").toArrow()
     x = np.asarray(table["features"].combine_chunks().flatten()).reshape(-1, len(FEATURES))
     y = np.asarray(table["_label"]).astype(float)
     order = np.lexsort((*x.T, y, np.asarray(table["doc_id"])))  # the same model whatever the rows' order

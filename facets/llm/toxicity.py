@@ -34,7 +34,7 @@ BITS = 20
 #: Lengths in bytes of the beginnings.
 BEGINNINGS = (3, 4, 5, 6, 7, 8, 9)
 FOLDS = 4
-PENALTY = 0.3
+PENALTY = 0.1
 
 #: Terms of the categories before the label.
 CATEGORIES = {
