@@ -24,7 +24,6 @@ from facets.sources.parquet import materialize, read_table
 #: White space between words, as in the regular expression class [\x20\x09-\x0D].
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 WORD = "[^\\x20\\x09-\\x0D]+"
-GAP = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text hashed at once (a longer text is a chunk of its own).
 CHUNK_BYTES = 1 << 20
 
@@ -92,6 +91,18 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _IS_SPACE[data]
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of about ``chunk_bytes``.
     A null text is an empty one. Offsets start at 0 and have one entry more than rows."""

@@ -10,26 +10,48 @@ shuffled aggregation and join.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from facets.llm.common import GAP, materialize
+from facets.llm.common import is_space, materialize, spare_name, text_chunks
 
 #: Counters of a Misra-Gries summary: the bound on broadcast winners.
 COUNTERS = 1024
 
 
-def normalized(text: Column) -> Column:
-    """Each run of white space as one space; a null text is an empty one."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), GAP, " ")
+def _digests(texts: pa.Array) -> list[str]:
+    """SHA-256 of each text with each run of white space as one space."""
+    out = []
+    for _, data, offs in text_chunks(texts):
+        space = is_space(data)
+        keep = np.ones(len(data), bool)
+        keep[1:] = ~(space[1:] & space[:-1])
+        keep[offs[:-1][offs[:-1] < len(data)]] = True  # a text's first byte
+        plain = memoryview(np.where(space, np.uint8(32), data)[keep])
+        ends = np.concatenate(([0], np.cumsum(keep)))[offs]
+        out.extend(hashlib.sha256(plain[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True))
+    return out
 
 
-def text_digest(text: Column) -> Column:
-    return F.sha2(normalized(text), 256)
+def with_digest(rows: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``rows`` with a further column that stands for the text: SHA-256, in
+    lowercase hexadecimal digits, of the text with each run of white space as
+    one space. A null text is an empty one."""
+    at = rows.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_digests(batch.column(at)), pa.string())],
+                                             names=[*batch.schema.names, name])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def _summaries(column: str, counters: int):
@@ -78,7 +100,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     where all rows stay and ``keep_id`` is null. Other columns are ignored;
     an empty table gives an empty result.
     """
-    marked = materialize(docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    marked = materialize(with_digest(rows, "text", "digest").select("doc_id", "digest"))
     winner = (F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # At most `counters` rows of a digest, an id and a count: a fixed bound.
     frequent = F.broadcast(frequent_values(marked, "digest", counters))
@@ -98,14 +121,14 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows that repeat both id and text are reduced to one as well."""
     names = docs.columns
-    keys = ["_id", "_digest"]
+    sha, keep, nth = (spare_name(docs, n) for n in ("sha", "keep", "nth"))
     kept = (exact_duplicates(docs, id_col, text_col, counters).where("kept")
-            .select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha")).distinct())
-    rows = docs.withColumns({"_id": F.col(id_col), "_digest": text_digest(F.col(text_col))})
-    rows = rows.join(kept, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_digest") == F.col("_sha")), "left_semi")
-    order = Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`") for c in names if c not in (id_col, text_col)] or [F.lit(1)])
-    return (rows.withColumn("_nth", F.row_number().over(order))
-            .where((F.col("_nth") == 1)).select(*[f"`{c}`" for c in names]))
+            .select(F.col(id_col).alias(keep), F.col("text_sha256").alias("kept_sha")).distinct())
+    rows = with_digest(docs, text_col, sha)
+    rows = rows.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(keep)) & (F.col(sha) == F.col("kept_sha")), "left_semi")
+    order = Window.partitionBy(f"`{id_col}`", sha).orderBy(
+        F.xxhash64(*[f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind]))
+    return rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*[f"`{c}`" for c in names])
 
 
 ORACLE_SQL = """
