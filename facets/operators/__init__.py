@@ -14,6 +14,8 @@ from facets.operators.profile import (
     check_counts,
     distinct_values,
     duplicates,
+    first_rows,
+    joined_null_profile,
     null_count,
     null_profile,
     sentinel_profile,
@@ -30,6 +32,7 @@ from facets.operators.rank import (
     frequencies,
     frequency,
     mode_group,
+    ranked,
     restrict_to_top_keys,
     slice_top_k,
     top_k,
@@ -40,8 +43,8 @@ from facets.operators.report import chart_rows
 
 __all__ = [
     "keep_year", "drop_sentinels", "replace_sentinel", "replace_with_mode", "with_clock_hours",
-    "drop_incomplete", "priced_top_k", "total_of_top_k", "shape", "structure", "null_profile",
+    "drop_incomplete", "priced_top_k", "total_of_top_k", "shape", "structure", "first_rows", "joined_null_profile", "null_profile",
     "sentinel_profile", "check_counts", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
-    "null_count", "unbinned", "frequency", "frequencies", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
+    "null_count", "unbinned", "frequency", "frequencies", "ranked", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
     "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows", "with_bound_columns",
 ]

@@ -52,10 +52,12 @@ def replace_sentinel(df: DataFrame, column: str, sentinel, replacement) -> DataF
 
 
 def replace_with_mode(df: DataFrame, column: str, sentinel) -> DataFrame:
-    """Swap a placeholder for the most frequent other value (ties: smallest)."""
+    """Swap a placeholder for the most frequent other value (ties: smallest).
+    Where there is no other value the placeholder stays."""
     rest = df.where(~matches(df, column, sentinel) & F.col(column).isNotNull())
     mode = top_k(rest, column, 1).select(column).scalar()
-    return df.withColumn(column, F.when(matches(df, column, sentinel), mode).otherwise(F.col(column)))
+    return df.withColumn(column, F.when(matches(df, column, sentinel), F.coalesce(mode, F.col(column)))
+                         .otherwise(F.col(column)))
 
 
 def with_clock_hours(df: DataFrame, time_col: str, hours: str = "Violation_hours",

@@ -5,9 +5,11 @@ row position. Here rates are matched by key:
 
 * a ``dict`` of rates becomes a literal map expression looked up per row -
   no join, no shuffle, stays in whole-stage codegen;
-* a rates *table* (of any size) is joined with the top-k counts broadcast as
-  the build side: the broadcast holds exactly ``k`` rows whatever the data
-  size, and the rates table is streamed, not shuffled.
+* a rates *table* (of any size) is first cut to the k keys by a left-semi join
+  against their broadcast - the table is streamed, never shuffled - and
+  brought to one rate a key, which leaves at most k rows; these are broadcast
+  into the k counts. Two rates for one key raise an error when the query
+  runs.
 
 Default is left semantics (an unpriced code keeps its count, NULL price).
 """
@@ -39,8 +41,11 @@ def priced_top_k(df: DataFrame, key: str, k: int, rates: Mapping | DataFrame, *,
         if how == "inner":
             out = out.where(F.col(rate).isNotNull())
     else:
-        out = rates.select(key, rate).join(F.broadcast(top), key, "right" if how == "left" else "inner")
-        out = out.select(key, name, rate)
+        few = rates.select(key, rate).join(F.broadcast(top.select(key)), key, "left_semi")
+        twice = F.raise_error(F.concat(F.lit("more than one rate for "), F.first(key).cast("string")))
+        few = few.groupBy(key).agg(F.when(F.count(F.lit(1)) > 1, twice.cast(rates.schema[rate].dataType))
+                                   .otherwise(F.max(rate)).alias(rate))
+        out = top.join(F.broadcast(few), key, how).select(key, name, rate)
     return out.withColumn(total, F.col(name) * F.col(rate))
 
 

@@ -22,13 +22,15 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def structure(df: DataFrame, n: int = 6) -> list[tuple[str, str, list]]:
-    """Name, type and first ``n`` values per column (R's ``str``).
+def structure(df: DataFrame) -> DataFrame:
+    """(position, column_name, column_type) of every column; no data is read."""
+    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
 
-    Inspection only: reads at most ``n`` rows through ``take``.
-    """
-    rows = df.take(n)
-    return [(f.name, f.dataType.simpleString(), [r[i] for r in rows]) for i, f in enumerate(df.schema.fields)]
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
+    """The first ``n`` rows in the order of the given columns (NULL first)."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
 
 def _long(one_row: DataFrame, columns: list[str], value_name: str) -> DataFrame:
@@ -42,6 +44,22 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return _long(one, cols, "n_null")
 
 
+def joined_null_profile(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """NULLs per column of ``left`` left-joined with ``right`` on ``key``:
+    (column_name, n_null). Both sides are cut to the key and one flag a column
+    before the join, so a shuffle carries flags and no values."""
+    cols = list(columns)
+    of_right = [c for c in cols if c not in left.columns]
+
+    def flags(df: DataFrame, own: list[str]) -> DataFrame:
+        return df.select(F.col(key).alias("_key"), *[F.col(c).isNull().alias(c) for c in own])
+
+    joined = flags(left, [c for c in cols if c in left.columns]).join(flags(right, of_right), "_key", "left")
+    # a row without a partner has no flags of the right side: its values are NULL
+    one = joined.agg(*[F.count_if(F.coalesce(F.col(c), F.lit(True))).alias(c) for c in cols])
+    return _long(one, cols, "n_null")
+
+
 def sentinel_profile(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame:
     """Rows equal to a placeholder value per column, in one pass:
     (column_name, n_match). Text-vs-number uses ``try_cast`` (ANSI-safe)."""
@@ -83,9 +101,10 @@ def duplicates(df: DataFrame, keys: Sequence[str] | str, name: str = "n") -> Dat
 
 
 def value_range(df: DataFrame, column: str, as_type: str | None = None) -> DataFrame:
-    """Smallest and largest value (e.g. date coverage)."""
-    c = F.col(column) if as_type is None else F.col(column).cast(as_type)
-    return df.agg(F.min(c).alias("min_value"), F.max(c).alias("max_value"))
+    """Smallest and largest value (e.g. date coverage); ``as_type`` is
+    applied to these two, not to every row."""
+    ends = df.agg(F.min(column).alias("min_value"), F.max(column).alias("max_value"))
+    return ends if as_type is None else ends.select(*[F.col(c).cast(as_type).alias(c) for c in ends.columns])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

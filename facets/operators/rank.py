@@ -11,10 +11,9 @@ Physical shape, which is what makes these hold at scale:
 * ``top_k`` / ``bottom_k`` are ``orderBy(...).limit(k)``: Spark plans
   ``TakeOrderedAndProject`` (per-partition top-k, then k x partitions rows
   merged), never a full sort.
-* ``top_k_per_group`` aggregates first, then ranks with ``row_number`` over
-  ``partitionBy(group)``; Spark adds a partial ``WindowGroupLimit`` before the
-  group shuffle, so even a group owning most keys ships only k rows per map
-  partition.
+* ``top_k_per_group`` aggregates first, then ranks with ``row_number``, first
+  within hash slices of each group's keys, then over the at most k x slices
+  rows that are left of a group.
 * ``mode_group`` is a plain aggregate (``min`` of a (-count, group) struct):
   argmax with a deterministic tie-break and partial aggregation, no window.
 * Restricting to the top-k keys (or top-n groups) is a left-semi join
@@ -106,35 +105,40 @@ def slice_top_k(df: DataFrame, where: Column, keys: Keys, k: int, **kw) -> DataF
     return top_k(df.where(where), keys, k, **kw)
 
 
-# Salt buckets for the first ranking level when Spark's own partial limit is off.
-SALT_BUCKETS = 64
+# Slices of each group's keys that are ranked on their own first.
+SLICES = 64
 
 
 def top_k_per_group(df: DataFrame, group: Keys, keys: Keys, k: int, *, by: str | None = None,
-                    count: str = "rows", name: str = "n", rank: str = "rank") -> DataFrame:
-    """For every group, its k most frequent keys with their rank (1..k).
-
-    Spark bounds a hot group by itself (partial ``WindowGroupLimit``) only
-    for k up to ``spark.sql.optimizer.windowGroupLimitThreshold``. Above it,
-    the keys of each group are first ranked within ``SALT_BUCKETS`` hash
-    slices of the key and cut to k there, so the final per-group ranking
-    sees at most k x buckets rows per group instead of every key."""
+                    count: str = "rows", name: str = "n", rank: str = "rank", slices: int = SLICES) -> DataFrame:
+    """For every group, its k most frequent keys with their rank (1..k). A
+    NULL group or key counts as a value of its own.
+
+    One shape for every k: the keys of a group are first ranked within
+    ``slices`` hash slices of the key and cut to k there, so a group that owns
+    most keys is ranked by many tasks, and its final ranking sees at most
+    k x slices rows. Raise ``slices`` with the number of keys per group."""
     gs, ks = _keys(group), _keys(keys)
     freq, by = _measured(df, gs + ks, by, count, name)
     order = _order(ks, by, True)
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > threshold:
-        salt = F.pmod(F.xxhash64(*ks), F.lit(SALT_BUCKETS))
-        w1 = Window.partitionBy(*gs, salt).orderBy(*order)
-        freq = freq.withColumn("_slice_rank", F.row_number().over(w1)).where(F.col("_slice_rank") <= k)
-        freq = freq.drop("_slice_rank")
+    in_slice = Window.partitionBy(*gs, F.pmod(F.xxhash64(*ks), F.lit(slices))).orderBy(*order)
+    few = freq.withColumn("_slice_rank", F.row_number().over(in_slice)).where(F.col("_slice_rank") <= k)
     w = Window.partitionBy(*gs).orderBy(*order)
-    return freq.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+    return few.drop("_slice_rank").withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+
+
+def _among(df: DataFrame, column: str, few: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in ``few``, a bounded one-column
+    frame; NULL matches NULL."""
+    wanted = few.select(F.col(column).alias("_wanted"))
+    return df.join(F.broadcast(wanted), F.col(column).eqNullSafe(F.col("_wanted")), "left_semi").select(*df.columns)
 
 
 def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k: int, *,
                         name: str = "n", rank: str = "rank", by: str | None = None) -> DataFrame:
-    """Top k keys inside each of the ``n_groups`` largest groups.
+    """Top k keys inside each of the ``n_groups`` largest groups. A NULL group
+    is a group like any other: ``n_groups`` groups come back whenever there
+    are so many.
 
     Plan: group sizes are a per-group count (partial aggregate; the shuffle
     carries one row per group per task); the n largest are a
@@ -148,32 +152,46 @@ def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k:
     if by is not None:  # df is a (group, keys) count cube
         sizes = frequency(df, group, by=by, name=name)
         top_groups = top_k(sizes, group, n_groups, by=name).select(group)
-        kept = df.join(F.broadcast(top_groups), group, "left_semi").select(*df.columns)
-        return top_k_per_group(kept, group, ks, k, by=by, rank=rank)
+        return top_k_per_group(_among(df, group, top_groups), group, ks, k, by=by, rank=rank)
     top_groups = top_k(df, group, n_groups).select(group)
-    kept = df.join(F.broadcast(top_groups), group, "left_semi")
-    return top_k_per_group(kept, group, ks, k, name=name, rank=rank)
+    return top_k_per_group(_among(df, group, top_groups), group, ks, k, name=name, rank=rank)
 
 
 def common_keys(ranked: DataFrame, group: str, key: str, name: str = "n_groups") -> DataFrame:
-    """Keys present in every group of a per-group ranking.
+    """Keys present in every group of a per-group ranking (F10); a NULL group
+    or key counts as one.
 
-    The number of groups is a scalar subquery, evaluated once; no cross join.
+    ``ranked`` is a bounded frame, as ``top_k_in_top_groups`` returns it
+    (groups x k rows), so the number of groups is taken by a window over just
+    these rows, in the same plan that makes them.
     """
-    n_all = ranked.select(F.count_distinct(group)).scalar()
-    return (ranked.groupBy(key).agg(F.count_distinct(group).alias(name))
-            .where(F.col(name) == n_all))
+    one = F.struct(group)
+    n_all = F.size(F.collect_set(one).over(Window.partitionBy(F.lit(1))))
+    return (ranked.withColumn("_n_all", n_all).groupBy(key)
+            .agg(F.count_distinct(one).alias(name), F.max("_n_all").alias("_n_all"))
+            .where(F.col(name) == F.col("_n_all")).drop("_n_all"))
 
 
 def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *,
                          by: str | None = None) -> DataFrame:
-    """Rows whose key is among the k most frequent (a computed ``IN`` list).
-    With ``by``, ``df`` is a count cube and key totals are its sums."""
+    """Rows whose key is among the k most frequent (a computed ``IN`` list; a
+    NULL key counts as a key). With ``by``, ``df`` is a count cube, key totals
+    are its sums, and the cells of one key (as many as the other columns'
+    domains allow) are gathered in one row; for a cube with more cells than
+    that, restrict the rows before counting."""
     if by is not None:
-        top = top_k(frequency(df, key, by=by, name="_n"), key, k, by="_n").select(key)
-    else:
-        top = top_k(df, key, k, count=count).select(key)
-    return df.join(F.broadcast(top), key, "left_semi").select(*df.columns)
+        # a key's cells travel with its total, so the cube is computed and read once
+        cells = df.groupBy(key).agg(F.sum(by).alias("_n"), F.collect_list(F.struct(*df.columns)).alias("_cells"))
+        return cells.orderBy(*_order([key], "_n", True)).limit(k).select(F.inline("_cells"))
+    return _among(df, key, top_k(df, key, k, count=count).select(key))
+
+
+def ranked(counted: DataFrame, keys: Keys, by: str = "n", rank: str = "rank") -> DataFrame:
+    """A whole frequency table in its listing order (count falling, then the
+    keys), as a rank column. For tables over bounded domains, such as bins x
+    codes: all their rows are ranked in one task."""
+    w = Window.orderBy(*_order(_keys(keys), by, True))
+    return counted.withColumn(rank, F.row_number().over(w))
 
 
 def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:

@@ -5,6 +5,7 @@ from conftest import as_dict, rows
 from facets.operators import (
     drop_sentinels,
     duplicates,
+    first_rows,
     null_profile,
     priced_top_k,
     replace_sentinel,
@@ -23,8 +24,8 @@ def test_profiles(spark):
     assert as_dict(sentinel_profile(df, {"p": 0, "z": 0}), "column_name", "n_match") == {"p": 1, "z": 1}
     assert rows(uniqueness(df, "id")) == [(3, 2, False)]
     assert rows(duplicates(df, "id")) == [(2, 2)]
-    st = structure(df, 2)
-    assert st[0] == ("id", "bigint", [1, 2])
+    assert rows(structure(df)) == [(1, "id", "bigint"), (2, "p", "string"), (3, "z", "int")]
+    assert rows(first_rows(df, ["z", "id"], 2)) == [(1, "0", None), (2, None, 0)]
 
 
 def test_drop_sentinels_drops_null_unless_kept(spark):
@@ -65,3 +66,46 @@ def test_check_counts_one_aggregate(spark):
     assert as_dict(out, "check", "n") == {"a null": 1, "a zero": 1, "b numeric": 1}
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 1   # one pass over the input
+
+
+def test_two_rates_for_one_key_raise(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1,), (1,), (2,)], "code int")
+    twice = spark.createDataFrame([(1, 5), (1, 6), (2, 7)], "code int, fine int")
+    with pytest.raises(Exception, match="more than one rate"):
+        priced_top_k(df, "code", 2, twice).collect()
+
+
+def test_mode_of_nothing_keeps_the_placeholder(spark):
+    df = spark.createDataFrame([("99",), ("99",), (None,)], "s string")
+    assert sorted(rows(replace_with_mode(df, "s", "99")), key=str) == [("99",), ("99",), (None,)]
+
+
+def test_normalize_names_refuses_collisions(spark):
+    import pytest
+
+    from facets.sources import normalize_names
+
+    assert normalize_names(spark.createDataFrame([(1, 2)], "`A B` int, c int")).columns == ["A_B", "c"]
+    with pytest.raises(ValueError, match="both be named"):
+        normalize_names(spark.createDataFrame([(1, 2)], "`A B` int, A_B int"))
+
+
+def test_failed_casts_are_counted(spark, tmp_path):
+    from facets.sources import FAILED_CASTS, load_csv
+
+    path = str(tmp_path / "x.csv")
+    with open(path, "w") as f:
+        f.write("a,b,d\n1,x,2017-01-02\noops,y,13/45/2017\n,z,\n3,w,bad\n")
+    df = load_csv(spark, path, "a int, b string, d date", date_columns=("d",), flag_failed=True)
+    assert sorted((r.b, tuple(r[FAILED_CASTS])) for r in df.collect()) == [("w", ("d",)), ("x", ()), ("y", ("a", "d")), ("z", ())]
+
+
+def test_year_filter_refuses_text_dates(spark):
+    import pytest
+
+    from facets.operators import keep_year
+
+    with pytest.raises(TypeError, match="not a date"):
+        keep_year(spark.createDataFrame([("01/02/2017",)], "d string"), "d", 2017)

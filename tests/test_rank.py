@@ -82,20 +82,25 @@ def test_partitioning_does_not_change_results(spark):
     assert a == b
 
 
-def test_salted_first_level_when_partial_limit_is_off(spark):
+def test_top_k_per_group_has_one_shape(spark):
     df = spark.createDataFrame([(g, c) for g, c, n in [(1, 10, 5), (1, 11, 3), (1, 12, 3), (1, 13, 1), (2, 10, 2),
                                                        (2, 14, 2)] for _ in range(n)], "g int, c int")
-    expect = rows(top_k_per_group(df, "g", "c", 3).orderBy("g", "rank"))
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    try:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1")
-        got = top_k_per_group(df, "g", "c", 3)
-        assert rows(got.orderBy("g", "rank")) == expect == [(1, 10, 5, 1), (1, 11, 3, 2), (1, 12, 3, 3),
-                                                            (2, 10, 2, 1), (2, 14, 2, 2)]
-        plan = got._jdf.queryExecution().optimizedPlan().toString()
-        assert "xxhash64" in plan
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    for k in (3, 5000):
+        for slices in (1, 64):
+            got = top_k_per_group(df, "g", "c", k, slices=slices)
+            assert "xxhash64" in got._jdf.queryExecution().optimizedPlan().toString()
+            first = [r for r in rows(got.orderBy("g", "rank")) if r[3] <= 3]
+            assert first == [(1, 10, 5, 1), (1, 11, 3, 2), (1, 12, 3, 3), (2, 10, 2, 1), (2, 14, 2, 2)]
+
+
+def test_null_groups_and_keys_count(spark):
+    df = spark.createDataFrame([(None, "a")] * 3 + [(None, None)] * 2 + [("x", "a")] * 3 + [("y", None)] * 2, "g string, c string")
+    top = top_k_in_top_groups(df, "g", "c", 2, 2)
+    assert sorted(rows(top), key=str) == [("x", "a", 3, 1), (None, "a", 3, 1), (None, None, 2, 2)]
+    assert rows(common_keys(top, "g", "c")) == [("a", 2)]
+    assert restrict_to_top_keys(df, "g", 2).count() == 8
+    cube = frequency(df, ["g", "c"])
+    assert sorted(rows(top_k_in_top_groups(cube, "g", "c", 2, 2, by="n")), key=str) == sorted(rows(top), key=str)
 
 
 def test_cube_answers_equal_direct_answers(spark):
