@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from facets.plans.citations import run_citation_report
+from facets.session import cluster_session
 
 
 def main(argv=None) -> None:
@@ -24,7 +23,7 @@ def main(argv=None) -> None:
     rep.add_argument("--clock-policy", choices=("as_written", "standard"), default="as_written")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("facets-report").getOrCreate()
+    spark = cluster_session("facets-report")
     paths = run_citation_report(spark, args.csv, args.out_dir, landed_path=args.landed,
                                 date_formats=tuple(args.date_format or ("yyyy-MM-dd",)),
                                 clock_policy=args.clock_policy)

@@ -29,6 +29,8 @@ def _bound(dtype: T.DataType, d: dt.date) -> Column:
 
 def in_year(df: DataFrame, column: str, year: int) -> Column:
     dtype = df.schema[column].dataType
+    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{column} is {dtype.simpleString()}, not a date: load it with its layout (load_csv date_columns)")
     c = F.col(column)
     return (c >= _bound(dtype, dt.date(year, 1, 1))) & (c < _bound(dtype, dt.date(year + 1, 1, 1)))
 

@@ -1,35 +1,66 @@
 """Session helpers.
 
 On a cluster the session comes from ``spark-submit`` and its settings win;
-``local_session`` is for tests and the benchmark only. ``CLUSTER_CONF`` lists
-what we recommend at 100 TB scale (see README).
+``cluster_session`` adds ``CLUSTER_CONF`` for what they leave open.
+``local_session`` is for tests and the benchmark only.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings we rely on at scale; all are Spark's own knobs. Sizing for 100 TB of
-# Parquet (README "Sizing"): 256 MB splits give ~400k scan tasks; the largest
-# shuffle is the exact distinct-key check (~10^12 keys, ~20 TB), which wants
-# ~80k partitions of ~256 MB, while frequency shuffles are a few GB. So AQE
-# starts every shuffle at 80k partitions and coalesces the small ones.
+# Cluster managers whose machines share no local folders.
+_CLUSTER_MASTERS = ("yarn", "k8s", "mesos")
+
+# Settings for 100 TB of Parquet (README "Sizing"); all are Spark's own knobs.
+# 256 MB splits give ~400k scan tasks. A frequency shuffle carries a few rows
+# per task, so a few thousand reduce partitions are plenty; every partition
+# more would cost each map task an index entry and the driver a block size.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "80000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.session.timeZone": "UTC",
-    # checkpointed count cubes are removed once no DataFrame refers to them
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Reduce partitions where distinct keys move (exact uniqueness, duplicates:
+# ~10^12 keys, ~20 TB). Set it around these two, not for a whole session.
+WIDE_SHUFFLE_PARTITIONS = 80_000
+
+
+def cluster_session(app: str) -> SparkSession:
+    """The session that ``spark-submit`` provides, with ``CLUSTER_CONF`` for
+    the settings it was not given. Checkpointed cubes are removed once no
+    DataFrame refers to them."""
+    builder = SparkSession.builder.appName(app)
+    given = {k for k, _ in SparkConf().getAll()}
+    for k, v in {**CLUSTER_CONF, "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}.items():
+        if k not in given:
+            builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+@contextmanager
+def wide_shuffles(spark: SparkSession, partitions: int = WIDE_SHUFFLE_PARTITIONS) -> Iterator[None]:
+    """More reduce partitions for the queries that run inside."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "facets",
                   driver_memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
@@ -51,12 +82,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset in a
     ``local[...]`` session (tests) pick a scratch folder of our own. On a
     cluster a machine-local folder would vanish with its executor, so an
-    unset value is an error there."""
+    unset value is an error there, and a ``file:`` folder is one where the
+    cluster manager places executors on machines of their own. (A standalone
+    cluster may mount one folder everywhere; there it is the owner's word.)"""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         d = tempfile.mkdtemp(prefix="facets-ckpt-")
+    if d.startswith("file:") and spark.sparkContext.master.startswith(_CLUSTER_MASTERS):
+        raise RuntimeError(f"spark.checkpoint.dir is {d}: a cluster needs a folder that its machines share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return os.fspath(d)

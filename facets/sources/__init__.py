@@ -1,9 +1,9 @@
 """Sources and sinks: CSV and Parquet in, Parquet out, views."""
 
-from facets.sources.csv import load_csv, parse_date
+from facets.sources.csv import FAILED_CASTS, load_csv, parse_date
 from facets.sources.names import normalize_names, rename_prefix
-from facets.sources.parquet import TABLES, is_complete, land_parquet, materialize, path_version, read_table, shared_dir
+from facets.sources.parquet import TABLES, land_parquet, materialize, read_table, shared_dir
 from facets.sources.views import register_view
 
-__all__ = ["load_csv", "parse_date", "normalize_names", "rename_prefix", "TABLES", "land_parquet",
-           "read_table", "shared_dir", "register_view", "path_version", "is_complete", "materialize"]
+__all__ = ["FAILED_CASTS", "load_csv", "parse_date", "normalize_names", "rename_prefix", "TABLES", "land_parquet",
+           "read_table", "shared_dir", "register_view", "materialize"]

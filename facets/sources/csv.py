@@ -7,7 +7,8 @@ read as text (Spark only reads the header line for the names), the declared
 columns are picked by name - so a file with more columns, or in another
 order, loads correctly - and each is converted with ``try_cast`` (a bad
 value becomes NULL, as Spark's PERMISSIVE CSV mode does, instead of failing
-an ANSI job). ``date_columns`` are parsed with the listed layouts, tried in
+an ANSI job; with ``flag_failed`` a further column lists the columns whose
+text was lost that way, so that bad values can be told from missing ones). ``date_columns`` are parsed with the listed layouts, tried in
 order. ``infer=True`` keeps the reference behaviour available.
 """
 
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Column that ``flag_failed`` adds: names of the row's columns with text that failed its cast.
+FAILED_CASTS = "_failed_casts"
+
+
 def as_struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
 
@@ -29,6 +34,7 @@ def load_csv(
     date_columns: tuple[str, ...] = (),
     date_formats: tuple[str, ...] = ("yyyy-MM-dd",),
     infer: bool = False,
+    flag_failed: bool = False,
     **options,
 ) -> DataFrame:
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
@@ -36,16 +42,16 @@ def load_csv(
         return reader.option("inferSchema", True).csv(path)
     if schema is None:
         raise ValueError("declare a schema, or pass infer=True")
-    return typed_from_text(reader.csv(path), as_struct(spark, schema), date_columns, date_formats)
+    return typed_from_text(reader.csv(path), as_struct(spark, schema), date_columns, date_formats, flag_failed)
 
 
 def typed_from_text(text: DataFrame, schema: T.StructType, date_columns: tuple[str, ...] = (),
-                    date_formats: tuple[str, ...] = ("yyyy-MM-dd",)) -> DataFrame:
+                    date_formats: tuple[str, ...] = ("yyyy-MM-dd",), flag_failed: bool = False) -> DataFrame:
     """Pick the declared columns of an all-text frame by name and type them."""
     missing = [f.name for f in schema.fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"columns not in the file header: {missing}")
-    cols = []
+    cols, failed = [], []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
         if f.name in date_columns:
@@ -53,6 +59,12 @@ def typed_from_text(text: DataFrame, schema: T.StructType, date_columns: tuple[s
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
+        if f.name in date_columns or not isinstance(f.dataType, T.StringType):
+            lost = c.isNull() & (F.trim(F.col(f"`{f.name}`")) != "")
+            failed.append(F.when(lost, F.lit(f.name)))
+    if flag_failed:
+        found = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+        cols.append(found.alias(FAILED_CASTS))
     return text.select(*cols)
 
 

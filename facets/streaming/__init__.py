@@ -3,6 +3,7 @@
 from facets.streaming.frequency import (
     citation_stream,
     cube_answers,
+    published,
     running_counts,
     running_cube,
     start_publishing,
@@ -10,5 +11,5 @@ from facets.streaming.frequency import (
     table_stream,
 )
 
-__all__ = ["citation_stream", "running_counts", "start_top_k", "running_cube", "cube_answers", "start_publishing",
+__all__ = ["citation_stream", "running_counts", "start_top_k", "running_cube", "cube_answers", "start_publishing", "published",
            "table_stream"]

@@ -6,9 +6,13 @@ stateless (filters, renames, the bound clock parser), so
 aggregate whose state holds one row per key (codes, precincts: small and
 bounded by the key domain, not by the data). Each micro-batch's full count
 table is handed to ``foreachBatch``, which ranks it with the batch
-``top_k`` and overwrites a Parquet result - so a restarted query recovers
+``top_k`` and writes a Parquet result - so a restarted query recovers
 from its checkpoint in the shared ``spark.checkpoint.dir`` and re-derives the
-same ranking.
+same ranking. A micro-batch writes into a folder of its own, and a pointer
+file is then switched to it by one rename, so that a reader always finds a
+whole answer (``published``). A result is written into a folder of its micro-batch, and a
+pointer file is then switched to it in one rename, so that a reader always
+finds a whole answer (``read_published``).
 
 Not supported on a stream: ``replace_with_mode`` (a scalar subquery), so
 ``state_fill`` must be a constant here.
@@ -64,14 +68,48 @@ def running_counts(stream: DataFrame, keys, state_fill: str = STATE_FILL, **clea
     return frequency(clean_citations(stream, state_fill=state_fill, **clean_kw), keys)
 
 
+POINTER = "_CURRENT"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = fs.Path(path)
+    return fs, where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, out_dir: str, batch_id: int, answers: dict[str, DataFrame], keep: int = 2) -> None:
+    """Write the answers of a micro-batch, point readers to them, and remove
+    folders older than the last ``keep`` batches."""
+    for name, df in answers.items():
+        df.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}/{name}")
+    fs, new, files = _hadoop(spark, f"{out_dir}/{POINTER}.{batch_id}")
+    out = files.create(new, True)
+    out.write(str(batch_id).encode())
+    out.close()
+    context = fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.valueOf("OVERWRITE")
+    context.rename(new, fs.Path(f"{out_dir}/{POINTER}"), how)
+    files.delete(fs.Path(f"{out_dir}/batch={batch_id - keep}"), True)
+
+
+def published(spark: SparkSession, out_dir: str, answer: str) -> DataFrame:
+    """The answer that the pointer names."""
+    _, pointer, files = _hadoop(spark, f"{out_dir}/{POINTER}")
+    stream = files.open(pointer)
+    batch_id = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return spark.read.parquet(f"{out_dir}/batch={batch_id}/{answer}")
+
+
 def start_top_k(counts: DataFrame, key: str, k: int, out_path: str, checkpoint: str | None = None,
                 available_now: bool = True) -> StreamingQuery:
-    """Keep ``out_path`` holding the current top ``k`` of a running count."""
+    """Keep the answer ``top`` under ``out_path``: the current top ``k`` of a running count."""
     spark = counts.sparkSession
     checkpoint = checkpoint or os.path.join(shared_dir(spark), "facets-stream-" + os.path.basename(out_path))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        top_k(batch, key, k, by="n").write.mode("overwrite").parquet(out_path)
+        _publish(spark, out_path, batch_id, {"top": top_k(batch, key, k, by="n")})
 
     writer = (counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
               .foreachBatch(publish))
@@ -107,19 +145,17 @@ def cube_answers(cube: DataFrame, k: int = 3) -> dict[str, DataFrame]:
 
 def start_publishing(cube: DataFrame, out_dir: str, answers=cube_answers, checkpoint: str | None = None,
                      available_now: bool = True) -> StreamingQuery:
-    """Keep ``out_dir/<answer>`` holding every answer of the running cube.
+    """Keep every answer of the running cube published under ``out_dir``.
 
     Each micro-batch's complete cube (a few rows) is turned into the answers
     by the batch operators and written by the executors; a restart resumes
-    from the checkpoint in the shared folder. Answers are overwritten, so a
-    micro-batch replayed after a failure writes the same result again
-    (idempotent sink)."""
+    from the checkpoint in the shared folder. A micro-batch replayed after a
+    failure writes its own folder again (idempotent sink)."""
     spark = cube.sparkSession
     checkpoint = checkpoint or os.path.join(shared_dir(spark), "facets-stream-" + os.path.basename(out_dir))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        for name, df in answers(batch).items():
-            df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
+        _publish(spark, out_dir, batch_id, answers(batch))
 
     writer = (cube.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
               .foreachBatch(publish))

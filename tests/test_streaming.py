@@ -7,7 +7,7 @@ from conftest import FIXTURES, rows
 
 from facets.operators import top_k
 from facets.plans.citations import clean_citations, load_citations
-from facets.streaming import citation_stream, running_counts, start_top_k
+from facets.streaming import citation_stream, published, running_counts, start_top_k
 
 
 def test_stream_top_k_matches_batch(spark, tmp_path):
@@ -18,7 +18,7 @@ def test_stream_top_k_matches_batch(spark, tmp_path):
     q = start_top_k(running_counts(citation_stream(spark, str(src)), "Violation_Code"), "Violation_Code", 3,
                     out, checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
-    got = rows(spark.read.parquet(out).orderBy("n", "Violation_Code", ascending=[False, True]))
+    got = rows(published(spark, out, "top").orderBy("n", "Violation_Code", ascending=[False, True]))
     batch = rows(top_k(clean_citations(load_citations(spark, str(src))), "Violation_Code", 3))
     assert got == batch == [(46, 4), (21, 3), (14, 2)]
 
@@ -27,7 +27,7 @@ def test_stream_top_k_matches_batch(spark, tmp_path):
     q = start_top_k(running_counts(citation_stream(spark, str(src)), "Violation_Code"), "Violation_Code", 3,
                     out, checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
-    assert rows(spark.read.parquet(out).orderBy("n", "Violation_Code", ascending=[False, True])) == \
+    assert rows(published(spark, out, "top").orderBy("n", "Violation_Code", ascending=[False, True])) == \
         [(46, 8), (21, 6), (14, 4)]
 
 
@@ -43,5 +43,5 @@ def test_stream_cube_answers_match_batch_report(spark, tmp_path):
     q.awaitTermination(120)
     batch = citation_report(clean_citations(load_citations(spark, str(src))), materialize=False)
     for name in ("bin_counts", "per_bin_top_codes", "top_codes_binned"):
-        got = rows(spark.read.parquet(str(out / name)))
+        got = rows(published(spark, str(out), name))
         assert sorted(map(str, got)) == sorted(map(str, rows(batch[name]))), name
