@@ -25,7 +25,6 @@ from facets.functions import REFERENCE_BINS, SEASONS, bin_column
 from facets.functions import matches
 from facets.operators import (
     bottom_k,
-    check_counts,
     common_keys,
     distinct_values,
     drop_incomplete,
@@ -34,24 +33,18 @@ from facets.operators import (
     frequency,
     keep_year,
     mode_group,
-    null_profile,
     priced_top_k,
     replace_sentinel,
     replace_with_mode,
     restrict_to_top_keys,
-    sentinel_profile,
-    shape,
     top_k,
     top_k_in_top_groups,
     top_k_per_group,
     total_of_top_k,
     unbinned,
-    uniqueness,
-    value_range,
     with_clock_hours,
-    year_profile,
 )
-from facets.sources import land_parquet, load_csv, normalize_names, register_view
+from facets.sources import FAILED_CASTS, land_parquet, load_csv, normalize_names, register_view
 
 # The citation file's columns (header text) and their types.
 CITATION_COLUMNS = (
@@ -80,51 +73,64 @@ STATE_FILL = "NY"
 FREQUENCY_COLUMNS = ("Violation_Code", "Vehicle_Body_Type", "Vehicle_Make", "Violation_Precinct",
                      "Issuer_Precinct")
 
-# Text columns whose value counts come from one shared cube (clock text has at
-# most 24 x 60 x 2 distinct values, so the cube stays small).
-TEXT_COLUMNS = ("Registration_State", "Vehicle_Body_Type", "Vehicle_Make", "Violation_Time")
+# Text columns whose value counts come from one shared cube.
+TEXT_COLUMNS = ("Registration_State", "Vehicle_Body_Type", "Vehicle_Make")
 
 # Average fine per violation code (USD).
 FINES = {21: 55, 38: 50, 14: 115}
 
 
-def load_citations(spark: SparkSession, path: str, date_formats=("yyyy-MM-dd",)) -> DataFrame:
-    return load_csv(spark, path, CITATIONS_SCHEMA, date_columns=("Issue Date",), date_formats=date_formats)
+def load_citations(spark: SparkSession, path: str, date_formats=("yyyy-MM-dd",), flag_failed: bool = False) -> DataFrame:
+    return load_csv(spark, path, CITATIONS_SCHEMA, date_columns=("Issue Date",), date_formats=date_formats,
+                    flag_failed=flag_failed)
 
 
 def quality_checks(raw: DataFrame, year: int = YEAR, materialize: bool = True) -> dict[str, DataFrame]:
-    """The reference's checks on the raw table in two passes over it.
-
-    Pass 1: a year cube (rows per issue year), from which the row count and
-    both year tables follow. Pass 2: one aggregate holding every null,
-    zero and placeholder count of the year's rows (the reference runs one
-    job per check, 21 in all, each re-parsing the file). Both results are a
-    few rows and are checkpointed once when ``materialize``."""
+    """The reference's checks on the raw table in one pass over it.
+
+    Rows are grouped by issue year, and every null, zero, placeholder and
+    failed-cast count is a conditional count of that one aggregate (the
+    reference runs one job per check, 21 in all, each re-parsing the file).
+    Its result - a row per year - is checkpointed once when ``materialize``,
+    which runs this pass on call; every answer reads those few rows. Answers
+    on columns are about the rows of ``year``. ``failed_casts`` counts
+    non-empty text that became NULL on load; it is there if ``raw`` was
+    loaded with ``flag_failed``, and covers all years (a failed date has none)."""
     keep = _materialize if materialize else (lambda d: d)
-    dated = raw.withColumn("Issue_year", F.year("Issue Date"))
-    in_year = keep_year(dated, "Issue Date", year)
-    renamed = normalize_names(in_year)
-    original = dict(zip(renamed.columns, in_year.columns))
+    flagged = FAILED_CASTS in raw.columns
+    table = raw.drop(FAILED_CASTS)
+    renamed = normalize_names(table)
+    original = dict(zip(renamed.columns, table.columns, strict=True))
+    dated = normalize_names(raw).withColumn("Issue_year", F.year("Issue_Date"))
 
-    years = keep(frequency(dated, "Issue_year"))
     checks = {f"null|{original[c]}": F.col(c).isNull() for c in renamed.columns}
-    checks.update({f"zero|{c}": matches(renamed, c, 0) for c in ZERO_CHECKED})
-    checks["placeholder|Registration_State"] = matches(renamed, "Registration_State", STATE_PLACEHOLDER)
-    counts = keep(check_counts(renamed, checks))
-    parts = counts.select(F.split("check", r"\|").getItem(0).alias("kind"),
-                          F.split("check", r"\|").getItem(1).alias("column_name"), "n")
-
-    def kind(k: str, value_name: str) -> DataFrame:
-        return parts.where(F.col("kind") == k).select("column_name", F.col("n").alias(value_name))
-
-    return {
-        "shape": years.agg(F.sum("n").alias("n_rows")).withColumn("n_cols", F.lit(len(raw.columns))),
-        "year_counts": frequency(years, "Issue_year", count="key", by="n"),
-        "year_counts_after": frequency(years.where(F.col("Issue_year") == year), "Issue_year", count="key", by="n"),
-        "nulls": kind("null", "n_null"),
-        "zeros": kind("zero", "n_match"),
-        "placeholder_states": kind("placeholder", "n_match"),
+    checks["null|Issue_year"] = F.col("Issue_year").isNull()
+    checks.update({f"zero|{c}": matches(dated, c, 0) for c in ZERO_CHECKED})
+    checks["placeholder|Registration_State"] = matches(dated, "Registration_State", STATE_PLACEHOLDER)
+    if flagged:
+        typed = [c for c, t in CITATION_COLUMNS if not isinstance(t, T.StringType)]
+        checks.update({f"failed|{c}": F.array_contains(FAILED_CASTS, c) for c in typed})
+    names = [n for n in checks if not n.startswith("null|Issue_year")] + ["null|Issue_year"]
+    cube = keep(dated.groupBy("Issue_year").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(checks[n], F.lit(False))).alias(n) for n in names]))
+
+    def kind(k: str, value_name: str, rows: DataFrame) -> DataFrame:
+        own = [n for n in names if n.startswith(f"{k}|")]
+        one = rows.agg(*[F.coalesce(F.sum(f"`{n}`"), F.lit(0).cast("bigint")).alias(n.split("|")[1]) for n in own])
+        return one.unpivot([], [n.split("|")[1] for n in own], "column_name", value_name)
+
+    in_year = cube.where(F.col("Issue_year") == year)
+    out = {
+        "shape": cube.agg(F.sum("n").alias("n_rows")).withColumn("n_cols", F.lit(len(table.columns))),
+        "year_counts": frequency(cube, "Issue_year", count="key", by="n"),
+        "year_counts_after": frequency(in_year, "Issue_year", count="key", by="n"),
+        "nulls": kind("null", "n_null", in_year),
+        "zeros": kind("zero", "n_match", in_year),
+        "placeholder_states": kind("placeholder", "n_match", in_year),
     }
+    if flagged:
+        out["failed_casts"] = kind("failed", "n_failed", cube)
+    return out
 
 
 def clean_citations(raw: DataFrame, year: int = YEAR, state_fill: str | None = STATE_FILL,
@@ -134,7 +140,7 @@ def clean_citations(raw: DataFrame, year: int = YEAR, state_fill: str | None = S
     All narrow: no shuffle anywhere in cleaning (the mode variant adds one
     scalar subquery).
     """
-    df = raw.withColumn("Issue_year", F.year("Issue Date"))
+    df = raw.drop(FAILED_CASTS).withColumn("Issue_year", F.year("Issue Date"))
     df = keep_year(df, "Issue Date", year)
     df = normalize_names(df)
     df = drop_sentinels(df, ZERO_SENTINELS)
@@ -175,14 +181,15 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
     ``precinct="Issuer_Precinct"`` asks the precinct question as worded
     rather than as coded; ``bins=EQUAL_4H_BINS`` gives six equal bins.
 
-    Aggregate once, answer many: twenty-four answers are rankings of four
-    small count cubes - (bin, code), (season, code), (precinct, code) and the
-    value counts of eight columns - whose size is bins x codes, ..., distinct
-    values, however large the table; the report scans the table seven times
-    for its 27 answers. Each cube is one scan with a map-side partial count; with
-    ``materialize`` it is checkpointed once (reliable, into
-    ``spark.checkpoint.dir``) and every answer reads those few rows instead
-    of rescanning the table.
+    Aggregate once, answer many: the table is scanned four times for the 27
+    answers. A cube of the value counts of seven columns, and one of (bin,
+    season, precinct, code) that keeps rows without a bin, serve all rankings;
+    their size is that of the domains, however large the table. One aggregate
+    has the distinct count, the date range and the missing times, and rows
+    without a bin are listed by themselves. Each cube is counted with a
+    map-side partial count; with ``materialize`` cubes and aggregate are
+    checkpointed (reliably, into ``spark.checkpoint.dir``), so three jobs run
+    on call, and the answers read those few rows.
     """
     keep = _materialize if materialize else (lambda d: d)
     code = "Violation_Code"
@@ -196,20 +203,24 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
                 .select(F.col("value").cast(dtype).alias(column), "n"))
 
     tb_all = time_bins(clean, bins, drop=False)
-    tb = time_bins(clean, bins)
-    bin_cube = keep(frequency(tb, ["Time_Bins", code]))
-    season_cube = keep(frequency(seasons(clean), ["Seasons", code]))
-    precinct_cube = keep(frequency(clean, [precinct, code]))
+    in_bin = F.col("Violation_hours").isNotNull() & F.col(code).isNotNull()  # as dropna sees the row, besides the bin
+    cube = keep(frequency(clean.select(
+        F.when(in_bin, bin_column("Violation_hours", bins)).alias("Time_Bins"), bin_column("Issue_month", SEASONS).alias("Seasons"),
+        precinct, code), ["Time_Bins", "Seasons", precinct, code]))
+    bin_cube = frequency(cube.where("Time_Bins is not null"), ["Time_Bins", code], by="n")
+    season_cube = frequency(cube, ["Seasons", code], by="n")
+    precinct_cube = frequency(cube, [precinct, code], by="n")
+    whole = keep(clean.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("Summons_Number").alias("n_distinct"),
+                           F.min("Issue_Date").alias("min_value"), F.max("Issue_Date").alias("max_value"),
+                           F.count_if(F.col("Violation_Time").isNull()).alias("n_null")))
     code_totals = frequency(precinct_cube, code, by="n")
     precinct_codes = top_k_in_top_groups(precinct_cube, precinct, code, 3, 6, by="n")
     binned_codes = frequency(bin_cube, code, by="n")
     top_binned = restrict_to_top_keys(bin_cube, code, 3, by="n")
     report = {
-        "distinct_summons": uniqueness(clean, "Summons_Number"),
-        "date_range": value_range(clean, "Issue_Date"),
-        # every row has one value (maybe NULL) per column, so any slice sums to the row count
-        "total_tickets": counts_of(TEXT_COLUMNS[0]).agg(F.sum("n").alias("n_rows"))
-        .withColumn("n_cols", F.lit(len(clean.columns))),
+        "distinct_summons": whole.select("n_rows", "n_distinct", (F.col("n_rows") == F.col("n_distinct")).alias("is_unique")),
+        "date_range": whole.select("min_value", "max_value"),
+        "total_tickets": whole.select("n_rows", F.lit(len(clean.columns)).alias("n_cols")),
         "unique_states": distinct_values(counts_of("Registration_State"), "Registration_State"),
         "state_top": top_k(frequency(counts_of("Registration_State"), "Registration_State", count="key", by="n"),
                            "Registration_State", 6, by="n"),
@@ -224,9 +235,7 @@ def citation_report(clean: DataFrame, precinct: str = "Violation_Precinct", fine
                                                by="n"), "Issuer_Precinct", 6, by="n"),
         "codes_in_top_precincts": precinct_codes,
         "codes_common_to_top_precincts": common_keys(precinct_codes, precinct, code),
-        "time_nulls": counts_of("Violation_Time").agg(
-            F.coalesce(F.sum(F.when(F.col("Violation_Time").isNull(), F.col("n"))), F.lit(0).cast("bigint"))
-            .alias("n_null")),
+        "time_nulls": whole.select("n_null"),
         "unbinned": unbinned(tb_all, "Time_Bins"),
         "bin_counts": frequency(bin_cube, "Time_Bins", count=code, by="n"),
         "per_bin_top_codes": top_k_per_group(bin_cube, "Time_Bins", code, 3, by="n"),
@@ -289,7 +298,7 @@ def write_report(report: dict[str, DataFrame], out_dir: str, mode: str = "overwr
 def run_citation_report(spark: SparkSession, csv_path: str, out_dir: str, *, landed_path: str | None = None,
                         date_formats=("yyyy-MM-dd",), **clean_kw) -> dict[str, str]:
     """Load -> checks -> clean -> land -> report, every answer written to ``out_dir``."""
-    raw = load_citations(spark, csv_path, date_formats)
+    raw = load_citations(spark, csv_path, date_formats, flag_failed=True)
     paths = write_report({f"check_{k}": v for k, v in quality_checks(raw).items()}, out_dir)
     landed = land_cleaned(clean_citations(raw, **clean_kw), landed_path)
     paths.update(write_report(citation_report(landed), out_dir))

@@ -12,7 +12,6 @@ Parquet files; output column names and types agree by construction.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import uuid
 from collections.abc import Callable
@@ -38,18 +37,22 @@ from facets.operators import (
     drop_incomplete,
     drop_sentinels,
     duplicates,
+    first_rows,
     frequencies,
     frequency,
+    joined_null_profile,
     keep_year,
     mode_group,
     null_count,
-    null_profile,
     priced_top_k,
+    ranked,
+    replace_sentinel,
     replace_with_mode,
     restrict_to_top_keys,
     sentinel_profile,
     shape,
     slice_top_k,
+    structure,
     top_k,
     top_k_in_top_groups,
     top_k_per_group,
@@ -57,14 +60,14 @@ from facets.operators import (
     unbinned,
     uniqueness,
     value_range,
+    with_bound_columns,
     with_clock_hours,
     year_profile,
 )
 from facets.sources import (
-    is_complete,
     load_csv,
     materialize,
-    path_version,
+    normalize_names,
     read_table,
     register_view,
     rename_prefix,
@@ -117,9 +120,10 @@ CLOCK_TEXT_SQL = "substr(strftime(ts, '%I%M%p'), 1, 5)"
 def binned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(hour, event_type, time_bin) with incomplete rows dropped."""
     ev = read_table(spark, sf_dir, "events")
-    hour = F.hour("ts")
-    b = ev.select(hour.alias("hour"), "event_type", bin_column(hour, REFERENCE_BINS).alias("time_bin"))
-    return drop_incomplete(b)
+    # the hour is computed once a row; bins and dropna above read the value
+    ev = with_bound_columns(ev.select("ts", "event_type"), {"hour": F.hour("ts")})
+    b = with_bound_columns(ev.select("hour", "event_type"), {"time_bin": bin_column("hour", REFERENCE_BINS)})
+    return drop_incomplete(b.select("hour", "event_type", "time_bin"))
 
 
 BINNED_EVENTS_SQL = f"""
@@ -183,7 +187,7 @@ def q_null_profile(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels")
     # Join strategy is Catalyst's: labels grows with the data, so no forced broadcast.
-    return null_profile(docs.join(labels, "doc_id", "left"), _NULL_COLS)
+    return joined_null_profile(docs, labels, "doc_id", _NULL_COLS)
 
 
 @query("zero_profile", _count_filter_union("lineitem", ZERO_CHECKED, "{c} = 0", "n_match"))
@@ -212,13 +216,10 @@ def q_duplicates(spark, sf_dir):
 
 
 @query("date_range", """
-SELECT CAST(CAST(min(o_orderdate) AS DATE) AS VARCHAR) AS min_value,
-       CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS max_value FROM orders""")
+SELECT CAST(min(o_orderdate) AS DATE) AS min_value, CAST(max(o_orderdate) AS DATE) AS max_value FROM orders""")
 def q_date_range(spark, sf_dir):
-    """Date coverage, reported as ISO date text (as the reference prints it;
-    text also compares the same way in every client library)."""
-    r = value_range(read_table(spark, sf_dir, "orders"), "o_orderdate", as_type="date")
-    return r.select(*[F.col(c).cast("string").alias(c) for c in r.columns])
+    """Date coverage, as dates."""
+    return value_range(read_table(spark, sf_dir, "orders"), "o_orderdate", as_type="date")
 
 
 @query("distinct_values", "SELECT count(DISTINCT p_type) AS n_distinct FROM part")
@@ -392,8 +393,10 @@ t AS (SELECT event_type FROM c GROUP BY event_type ORDER BY count(*) DESC, event
 SELECT event_type, time_bin, count(*) AS n FROM c WHERE event_type IN (SELECT event_type FROM t)
 GROUP BY event_type, time_bin""")
 def q_bins_of_top_codes(spark, sf_dir):
-    b = binned_events(spark, sf_dir)
-    return frequency(restrict_to_top_keys(b, "event_type", 3), ["event_type", "time_bin"])
+    """From one (type, bin) cube, read once: its totals pick the types. For a
+    key with a very large domain, restrict the rows first instead."""
+    cube = frequency(binned_events(spark, sf_dir), ["event_type", "time_bin"])
+    return restrict_to_top_keys(cube, "event_type", 3, by="n")
 
 
 @query("mode_group", f"""
@@ -512,18 +515,13 @@ FROM orders GROUP BY 1, 2""")
 def q_csv_source(spark, sf_dir):
     """Headed CSV read with a declared schema and ``MM/dd/yyyy`` dates.
 
-    The CSV is written by Spark from the whole ``orders`` table into the
-    shared ``spark.checkpoint.dir`` - once per version of the source table -
-    then read back through ``load_csv``: no inference pass, dates parsed by
-    layout."""
-    src = os.path.join(sf_dir, "orders.parquet")
-    tag = f"{hashlib.sha1(os.path.abspath(src).encode()).hexdigest()[:12]}-{path_version(spark, src)}"
-    path = os.path.join(shared_dir(spark), "facets-csv", tag, "orders")
-    if not is_complete(spark, path):  # landed once per version of the source table
-        o = read_table(spark, sf_dir, "orders").select(
-            "o_orderkey", F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy").alias("o_orderdate"),
-            "o_orderpriority")
-        o.write.mode("overwrite").option("header", True).csv(path)
+    The CSV is written by Spark from the whole ``orders`` table into a fresh
+    folder under the shared ``spark.checkpoint.dir``, then read back through
+    ``load_csv``: no inference pass, dates parsed by layout."""
+    path = os.path.join(shared_dir(spark), f"facets-csv-{uuid.uuid4().hex}", "orders")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy").alias("o_orderdate"), "o_orderpriority")
+    o.write.option("header", True).csv(path)
     df = load_csv(spark, path, "o_orderkey bigint, o_orderdate date, o_orderpriority string",
                   date_columns=("o_orderdate",), date_formats=("MM/dd/yyyy", "yyyy-MM-dd"))
     return frequency(df.select(F.year("o_orderdate").alias("o_year"), "o_orderpriority"), ["o_year", "o_orderpriority"])
@@ -537,7 +535,7 @@ def q_stream_per_bin_top_codes(spark, sf_dir):
     file stream, a running (bin, type) count cube as the state (bounded by
     bins x types), the ranking published by ``foreachBatch`` into the shared
     folder (fresh per call, checkpoint included) and read back."""
-    from facets.streaming import start_publishing, table_stream
+    from facets.streaming import published, start_publishing, table_stream
 
     out = os.path.join(shared_dir(spark), f"facets-stream-{uuid.uuid4().hex}")
     ev = table_stream(spark, sf_dir, "events")
@@ -546,17 +544,34 @@ def q_stream_per_bin_top_codes(spark, sf_dir):
     cube = frequency(b, ["time_bin", "event_type"])
     answers = lambda c: {"per_bin_top_codes": top_k_per_group(c, "time_bin", "event_type", 3, by="n")}
     start_publishing(cube, out, answers, checkpoint=os.path.join(out, "_checkpoint")).awaitTermination()
-    return spark.read.parquet(os.path.join(out, "per_bin_top_codes"))
+    return published(spark, out, "per_bin_top_codes")
 
 
 # --- count cubes and key counts -------------------------------------------------------------
 
-@query("cube_per_season_top_codes", _PER_SEASON_TOP_SQL)
-def q_cube_per_season_top_codes(spark, sf_dir):
-    """``per_season_top_codes`` the way the report computes it: a (season,
-    priority) count cube checkpointed once, ranked with ``by="n"``."""
+@query("cube_answers", f"""
+WITH {SEASONED_ORDERS_SQL},
+p AS (SELECT season, o_orderpriority, count(*) AS n FROM s GROUP BY season, o_orderpriority),
+r AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY n DESC, o_orderpriority ASC NULLS FIRST) AS k FROM p),
+t AS (SELECT o_orderpriority, sum(n) AS n FROM p GROUP BY 1 ORDER BY n DESC, o_orderpriority ASC NULLS FIRST LIMIT 3),
+m AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, season ASC NULLS FIRST) AS k FROM p)
+SELECT 'top of season' AS question, season, o_orderpriority, n FROM r WHERE k <= 3
+UNION ALL SELECT 'season total', season, NULL, CAST(sum(n) AS BIGINT) FROM p GROUP BY season
+UNION ALL SELECT 'top priority', NULL, o_orderpriority, CAST(n AS BIGINT) FROM t
+UNION ALL SELECT 'main season', season, o_orderpriority, n FROM m WHERE k = 1""")
+def q_cube_answers(spark, sf_dir):
+    """Four questions answered from one (season, priority) count cube, counted
+    and checkpointed once (the report's way of working)."""
     cube = materialize(frequency(seasoned_orders(spark, sf_dir), ["season", "o_orderpriority"]))
-    return top_k_per_group(cube, "season", "o_orderpriority", 3, by="n")
+    none = F.lit(None).cast("string")
+    parts = {
+        "top of season": top_k_per_group(cube, "season", "o_orderpriority", 3, by="n"),
+        "season total": frequency(cube, "season", by="n").withColumn("o_orderpriority", none),
+        "top priority": top_k(frequency(cube, "o_orderpriority", by="n"), "o_orderpriority", 3, by="n").withColumn("season", none),
+        "main season": mode_group(cube, "o_orderpriority", "season", by="n"),
+    }
+    out = [df.select(F.lit(name).alias("question"), "season", "o_orderpriority", "n") for name, df in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
 @query("topk_key_count", """
@@ -566,3 +581,186 @@ def q_topk_key_count(spark, sf_dir):
     """Top k counted as ``count(key)``: the NULL key's group counts 0 and ranks last."""
     o = read_table(spark, sf_dir, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
     return top_k(o, "o_orderstatus", 3, count="key")
+
+
+# --- NULL groups and keys ---------------------------------------------------------------------
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(quality, lang); quality is NULL for every document without a label."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return docs.join(read_table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left").select("quality", "lang")
+
+
+LABELLED_SQL = "d AS (SELECT l.quality, x.lang FROM documents x LEFT JOIN labels l ON x.doc_id = l.doc_id)"
+
+
+@query("top_groups_null", f"""
+WITH {LABELLED_SQL},
+g AS (SELECT quality FROM d GROUP BY quality ORDER BY count(*) DESC, quality ASC NULLS FIRST LIMIT 2),
+p AS (SELECT quality, lang, count(*) AS n FROM d
+      WHERE EXISTS (SELECT 1 FROM g WHERE g.quality IS NOT DISTINCT FROM d.quality) GROUP BY quality, lang),
+r AS (SELECT quality, lang, n, CAST(row_number() OVER (PARTITION BY quality ORDER BY n DESC, lang ASC NULLS FIRST)
+      AS INTEGER) AS "rank" FROM p)
+SELECT * FROM r WHERE "rank" <= 3""")
+def q_top_groups_null(spark, sf_dir):
+    """The largest group is the NULL one."""
+    return top_k_in_top_groups(labelled_documents(spark, sf_dir), "quality", "lang", 2, 3)
+
+
+@query("restrict_null_key", f"""
+WITH {LABELLED_SQL},
+t AS (SELECT quality FROM d GROUP BY quality ORDER BY count(*) DESC, quality ASC NULLS FIRST LIMIT 2)
+SELECT quality, lang, count(*) AS n FROM d
+WHERE EXISTS (SELECT 1 FROM t WHERE t.quality IS NOT DISTINCT FROM d.quality) GROUP BY quality, lang""")
+def q_restrict_null_key(spark, sf_dir):
+    return frequency(restrict_to_top_keys(labelled_documents(spark, sf_dir), "quality", 2), ["quality", "lang"])
+
+
+@query("common_keys_null", f"""
+WITH {LABELLED_SQL},
+p AS (SELECT quality, lang, count(*) AS n FROM d GROUP BY quality, lang),
+r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY n DESC, lang ASC NULLS FIRST) AS k FROM p),
+t AS (SELECT * FROM r WHERE k <= 3)
+SELECT lang, count(*) AS n_groups FROM t GROUP BY lang
+HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT quality FROM t))""")
+def q_common_keys_null(spark, sf_dir):
+    return common_keys(top_k_per_group(labelled_documents(spark, sf_dir), "quality", "lang", 3), "quality", "lang")
+
+
+@query("many_per_group", """
+WITH p AS (SELECT event_type, event_id, count(*) AS n FROM events GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY n DESC, event_id ASC NULLS FIRST) AS INTEGER)
+      AS "rank" FROM p)
+SELECT * FROM r WHERE "rank" <= 1500""")
+def q_many_per_group(spark, sf_dir):
+    """A k that is larger than what Spark limits inside a group by itself."""
+    return top_k_per_group(read_table(spark, sf_dir, "events"), "event_type", "event_id", 1500)
+
+
+# --- dirty clock text -----------------------------------------------------------------------------
+
+def dirty_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, event_type, t): clock text with hours up to 30, minutes up to
+    74, suffixes A, P, X or none, and some NULLs, all told by ``event_id``."""
+    i = F.col("event_id")
+    suffix = F.when(i % 4 == 0, "A").when(i % 4 == 1, "P").when(i % 4 == 2, "X").otherwise("")
+    text = F.concat(F.lpad((i % 31).cast("string"), 2, "0"), F.lpad((i % 75).cast("string"), 2, "0"), suffix)
+    return read_table(spark, sf_dir, "events").select("event_id", "event_type", F.when(i % 97 != 0, text).alias("t"))
+
+
+DIRTY_CLOCK_SQL = """d AS (SELECT event_id, event_type, CASE WHEN event_id % 97 <> 0 THEN
+  lpad(CAST(event_id % 31 AS VARCHAR), 2, '0') || lpad(CAST(event_id % 75 AS VARCHAR), 2, '0')
+  || CASE event_id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'P' WHEN 2 THEN 'X' ELSE '' END END AS t FROM events)"""
+DIRTY_BINS_SQL = f"""{DIRTY_CLOCK_SQL},
+h AS (SELECT event_id, event_type, {clock12_sql('t', 'as_written')} AS hour FROM d),
+b AS (SELECT event_id, hour, event_type, {bin_case_sql('hour', REFERENCE_BINS)} AS time_bin FROM h)"""
+
+
+def dirty_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = with_clock_hours(dirty_clock(spark, sf_dir), "t", "hour", None, "as_written").select("event_id", "hour", "event_type")
+    return hours.withColumn("time_bin", bin_column("hour", REFERENCE_BINS))
+
+
+@query("clock12_dirty_as_written", f"WITH {DIRTY_CLOCK_SQL}\nSELECT {clock12_sql('t', 'as_written')} AS hour, count(*) AS n FROM d GROUP BY 1")
+def q_clock12_dirty_as_written(spark, sf_dir):
+    return frequency(dirty_clock(spark, sf_dir).select(parse_clock12("t", "as_written").alias("hour")), "hour")
+
+
+@query("clock12_dirty_standard", f"WITH {DIRTY_CLOCK_SQL}\nSELECT {clock12_sql('t', 'standard')} AS hour, count(*) AS n FROM d GROUP BY 1")
+def q_clock12_dirty_standard(spark, sf_dir):
+    return frequency(dirty_clock(spark, sf_dir).select(parse_clock12("t", "standard").alias("hour")), "hour")
+
+
+@query("dirty_time_nulls", f"WITH {DIRTY_CLOCK_SQL}\nSELECT count(*) FILTER (WHERE t IS NULL) AS n_null FROM d")
+def q_dirty_time_nulls(spark, sf_dir):
+    return null_count(dirty_clock(spark, sf_dir), "t")
+
+
+@query("dirty_bins_dropna", f"""
+WITH {DIRTY_BINS_SQL}
+SELECT time_bin, count(event_type) AS n FROM b
+WHERE hour IS NOT NULL AND event_type IS NOT NULL AND time_bin IS NOT NULL GROUP BY time_bin""")
+def q_dirty_bins_dropna(spark, sf_dir):
+    return frequency(drop_incomplete(dirty_bins(spark, sf_dir)), "time_bin", count="event_type")
+
+
+@query("dirty_unbinned", f"WITH {DIRTY_BINS_SQL}\nSELECT event_id, hour, event_type, time_bin FROM b WHERE time_bin IS NULL")
+def q_dirty_unbinned(spark, sf_dir):
+    return unbinned(dirty_bins(spark, sf_dir), "time_bin")
+
+
+# --- rates table, text sentinels, names, listings ----------------------------------------------------
+
+@query("revenue_table", """
+WITH t AS (SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_linenumber ASC NULLS FIRST LIMIT 3),
+r AS (SELECT CAST(p_size AS INTEGER) AS l_linenumber, count(*) AS fine FROM part WHERE p_size <> 2 GROUP BY 1)
+SELECT t.l_linenumber, t.n, r.fine, t.n * r.fine AS total_fines FROM t LEFT JOIN r USING (l_linenumber)""")
+def q_revenue_table(spark, sf_dir):
+    """Rates from a table: the price of a line number is the number of parts of
+    that size (one code has none)."""
+    rates = frequency(read_table(spark, sf_dir, "part").where("p_size <> 2").select(F.col("p_size").cast("int").alias("l_linenumber")),
+                      "l_linenumber", name="fine")
+    return priced_top_k(read_table(spark, sf_dir, "lineitem"), "l_linenumber", 3, rates)
+
+
+_TEXT_CHECKED = ("l_suppkey", "l_returnflag", "l_linestatus")
+
+
+@query("zero_profile_text", _count_filter_union("lineitem", _TEXT_CHECKED, "TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) = 0", "n_match"))
+def q_zero_profile_text(spark, sf_dir):
+    """Text columns against the number 0."""
+    li = read_table(spark, sf_dir, "lineitem").select(*[F.col(c).cast("string").alias(c) for c in _TEXT_CHECKED])
+    return sentinel_profile(li, {c: 0 for c in _TEXT_CHECKED})
+
+
+@query("sentinel_filter_text", """
+SELECT l_suppkey, count(*) AS n FROM (SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey FROM lineitem) t
+WHERE TRY_CAST(l_suppkey AS DOUBLE) <> 0 GROUP BY l_suppkey""")
+def q_sentinel_filter_text(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("l_suppkey"))
+    return frequency(drop_sentinels(li, {"l_suppkey": 0}), "l_suppkey")
+
+
+@query("sentinel_to_constant", """
+SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '3-MEDIUM' ELSE o_orderpriority END AS o_orderpriority, count(*) AS n
+FROM orders GROUP BY 1""")
+def q_sentinel_to_constant(spark, sf_dir):
+    o = replace_sentinel(read_table(spark, sf_dir, "orders"), "o_orderpriority", "4-NOT SPECIFIED", "3-MEDIUM")
+    return frequency(o, "o_orderpriority")
+
+
+@query("normalize", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_normalize(spark, sf_dir):
+    """Names with blanks, as in a file's header, brought to one form."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return normalize_names(nation.toDF("n nationkey", "n name", "n regionkey"))
+
+
+@query("structure", """
+SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
+       CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+       ELSE lower(data_type) END AS column_type
+FROM information_schema.columns WHERE table_name = 'orders'""")
+def q_structure(spark, sf_dir):
+    return structure(read_table(spark, sf_dir, "orders"))
+
+
+@query("first_rows", """
+SELECT event_id, event_type FROM events ORDER BY event_type ASC NULLS FIRST, event_id ASC NULLS FIRST LIMIT 6""")
+def q_first_rows(spark, sf_dir):
+    return first_rows(read_table(spark, sf_dir, "events").select("event_id", "event_type"), ["event_type", "event_id"])
+
+
+@query("bin_code_listing", f"""
+WITH {BINNED_EVENTS_SQL}, p AS (SELECT event_type, time_bin, count(*) AS n FROM c GROUP BY event_type, time_bin)
+SELECT *, CAST(row_number() OVER (ORDER BY n DESC, event_type ASC NULLS FIRST, time_bin ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p""")
+def q_bin_code_listing(spark, sf_dir):
+    """Every (code, bin) count in listing order."""
+    return ranked(frequency(binned_events(spark, sf_dir), ["event_type", "time_bin"]), ["event_type", "time_bin"])
+
+
+@query("season_listing", f"""
+WITH {SEASONED_ORDERS_SQL}, p AS (SELECT season, count(o_orderpriority) AS n FROM s GROUP BY season)
+SELECT *, CAST(row_number() OVER (ORDER BY n DESC, season ASC NULLS FIRST) AS INTEGER) AS "rank" FROM p""")
+def q_season_listing(spark, sf_dir):
+    return ranked(frequency(seasoned_orders(spark, sf_dir), "season", count="o_orderpriority"), "season")

@@ -39,7 +39,7 @@ def test_column_pruning(spark):
 
 
 def test_restriction_broadcasts_only_top_k(spark):
-    p = plan(QUERIES["bins_of_top_codes"](spark, SF001))
+    p = plan(QUERIES["restrict_null_key"](spark, SF001))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
 
 
@@ -71,12 +71,89 @@ def test_report_reads_the_table_only_where_it_must(spark, raw, tmp_path):
     report = citation_report(landed)
     scanning = sorted(name for name, df in report.items()
                       if "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString())
-    assert scanning == ["date_range", "distinct_summons", "unbinned"]   # the rest read checkpointed cubes
+    assert scanning == ["unbinned"]   # the rest read the two cubes and the one aggregate, checkpointed
 
 
-def test_quality_checks_read_the_file_twice(spark, raw):
+def test_quality_checks_read_the_file_once(spark, raw):
     from facets.plans.citations import quality_checks
 
-    q = quality_checks(raw)   # materializes the year cube and the check counts: two CSV passes
+    q = quality_checks(raw)   # materializes one aggregate by year: one CSV pass
     for name, df in q.items():
         assert "FileScan csv" not in df._jdf.queryExecution().executedPlan().toString(), name
+
+
+def _final(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_null_profile_shuffles_flags_only(spark):
+    from conftest import SF001
+
+    from facets.plans.supplied import QUERIES
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = QUERIES["null_profile"](spark, SF001)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Join"):]
+        project = next(x for x in below.splitlines() if "Project" in x)
+        assert "isnull(text" in project and " text#" not in project.split("isnull(text")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rates_table_is_streamed(spark):
+    """With automatic broadcasts off, no raw rate goes through an exchange: only
+    partial aggregates of at most k keys do."""
+    from facets.operators import priced_top_k
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        codes = spark.range(1000).selectExpr("id % 7 as code")
+        rates = spark.range(5000).selectExpr("id as code", "id * 2 as fine")
+        out = priced_top_k(codes, "code", 3, rates)
+        plan = _final(out)
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "LeftSemi" in plan
+        assert sorted(tuple(r) for r in out.collect()) == [(0, 143, 0, 0), (1, 143, 2, 286), (2, 143, 4, 572)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bins_of_top_codes_scans_once(spark):
+    from conftest import SF001
+
+    from facets.plans.supplied import QUERIES
+
+    df = QUERIES["bins_of_top_codes"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_hour_is_computed_once(spark):
+    from conftest import SF001
+
+    from facets.plans.supplied import QUERIES
+
+    plan = QUERIES["bin_counts"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("hour(") <= 2
+
+
+def test_file_checkpoint_folder_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from facets.session import ensure_checkpoint_dir
+
+    def session(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: folder),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: folder))
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(session("yarn", "file:///tmp/x"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(session("yarn", None))
+    assert ensure_checkpoint_dir(session("yarn", "hdfs:///x")) == "hdfs:///x"
