@@ -1,159 +1,45 @@
-"""The whole analysis twice, on the supplied-table analogues, for the benchmark.
-
-``reference_shaped`` replays the reference script's sequence of actions as
-it is written: nothing cached, one job per null or zero check, one query per
-slice (precinct ids, bins and seasons typed in from an earlier result), the
-top-k list collected and multiplied on the driver. ``consolidated`` asks the
-same questions through this package's operators. Both run on the same engine
-and data, so the ratio is the cost of the query shapes alone.
-
-Analogues as in ``facets.plans.supplied``: precinct = ``l_suppkey``, code =
-``l_linenumber`` / ``event_type`` / ``o_orderpriority``, issue date =
-``o_orderdate``, body type / make = ``p_type`` / ``p_brand``.
-"""
+"""Per-question comparisons for the benchmark: one job per part of a question
+against one pass for all of it, on the supplied tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from facets.functions import REFERENCE_BINS, SEASONS, bin_column
-from facets.operators import (
-    bottom_k,
-    check_counts,
-    distinct_values,
-    drop_sentinels,
-    frequencies,
-    frequency,
-    mode_group,
-    priced_top_k,
-    restrict_to_top_keys,
-    top_k,
-    top_k_in_top_groups,
-    top_k_per_group,
-    total_of_top_k,
-    unbinned,
-    uniqueness,
-    value_range,
-)
-from facets.plans.supplied import RATES, ZERO_CHECKED, binned_events, seasoned_orders
-from facets.sources import materialize, read_table
-
-PLACEHOLDER = "4-NOT SPECIFIED"
-
-
-def _noop(df) -> None:
-    df.write.format("noop").mode("overwrite").save()
-
-
-def reference_shaped(spark, sf_dir: str) -> int:
-    """Returns the number of actions run."""
-    li, o, ev, pt = (read_table(spark, sf_dir, t) for t in ("lineitem", "orders", "events", "part"))
-    n = 0
-
-    def act(x):
-        nonlocal n
-        n += 1
-        return x
-
-    act(li.take(20)); act(li.count()); len(li.columns)
-    yr = o.withColumn("y", F.year("o_orderdate"))
-    act(yr.groupBy("y").agg(F.count("y").alias("count")).take(6))
-    yr = yr.where(F.col("y") == 1998)
-    act(yr.groupBy("y").agg(F.count("y").alias("count")).take(6))
-    for c in ev.columns:                                   # one job per null check
-        act(ev.where(F.col(c).isNull()).count())
-    for c in ZERO_CHECKED:                                 # one job per zero check
-        act(li.where(F.col(c) == 0).count())
-    lic = li.where(F.col("l_suppkey") != 0).where(F.col("l_partkey") != 0).where(F.col("l_discount") != 0)
-    act(lic.take(6))
-    act(o.groupBy("o_orderpriority").agg(F.count("o_orderpriority").alias("count"))
-        .orderBy(F.desc("count")).take(6))
-    act(o.where(F.col("o_orderpriority") == PLACEHOLDER).count())
-    act(o.select(F.count_distinct("o_orderkey")).take(6))
-    act(o.select(F.min("o_orderdate"), F.max("o_orderdate")).take(6))
-    act(o.count())
-    act(o.select(F.count_distinct("o_orderpriority")).take(6))
-    act(lic.groupBy("l_linenumber").agg(F.count("l_linenumber").alias("count")).orderBy(F.desc("count")).take(6))
-    for col in ("p_type", "p_brand"):
-        freq = pt.groupBy(col).agg(F.count(F.lit(1)).alias("Count"))
-        act(freq.orderBy(F.desc("Count")).take(5))
-        act(freq.orderBy(F.asc("Count")).take(5))
-    tops = act(lic.groupBy("l_suppkey").agg(F.count("l_suppkey").alias("count"))
-               .orderBy(F.desc("count")).take(6))
-    act(lic.groupBy("l_partkey").agg(F.count("l_partkey").alias("count")).orderBy(F.desc("count")).take(6))
-    for row in tops[:3]:                                   # ids typed in from the printed result
-        act(lic.where(F.col("l_suppkey") == row[0]).groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("c"))
-            .orderBy(F.desc("c")).take(6))
-    act(ev.where(F.col("ts").isNull()).count())
-    bins = ev.select(F.hour("ts").alias("h"), "event_type", bin_column(F.hour("ts"), REFERENCE_BINS).alias("b"))
-    act(bins.take(6)); act(bins.where(F.col("b").isNull()).take(6))
-    bins = bins.dropna()
-    per_bin = bins.groupBy("b").agg(F.count("event_type").alias("c")).orderBy(F.desc("c"))
-    act(per_bin.take(6)); act(per_bin.take(6))             # printed, then collected for the chart
-    for label in sorted({b.label for b in REFERENCE_BINS}):
-        act(bins.where(F.col("b") == label).groupBy("event_type").agg(F.count(F.lit(1)).alias("c"))
-            .orderBy(F.desc("c")).take(6))
-    top3 = act(bins.groupBy("event_type").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c")).limit(3).take(6))
-    act(bins.where(F.col("event_type").isin([r[0] for r in top3])).groupBy("event_type", "b")
-        .agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c")).take(6))
-    seasons = o.select(F.month("o_orderdate").alias("m"), "o_orderpriority",
-                       bin_column(F.month("o_orderdate"), SEASONS).alias("s"))
-    act(seasons.take(6))
-    act(seasons.groupBy("s").agg(F.count("o_orderpriority").alias("c")).orderBy(F.desc("c")).take(6))
-    for label in ("Winter", "Summer", "Rainy"):
-        act(seasons.where(F.col("s") == label).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("c"))
-            .orderBy(F.desc("c")).take(6))
-    top = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count1")).orderBy(F.desc("count1")).limit(3)
-    act(top.take(6)); act(top.agg(F.sum("count1")).take(6))
-    local = act(top.collect())                             # multiplied on the driver by position
-    [r[1] * f for r, f in zip(local, RATES.values())]
-    return n
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def consolidated(spark, sf_dir: str) -> int:
-    """The same answers through the operators, the way ``citation_report``
-    asks them: single-pass profiles, and rankings read from small count cubes
-    computed once and checkpointed - where a cube feeds several answers; a
-    cube read once is not worth a checkpoint. Returns the number of actions."""
-    li, o, ev, pt = (read_table(spark, sf_dir, t) for t in ("lineitem", "orders", "events", "part"))
-    lic = drop_sentinels(li, {"l_suppkey": 0, "l_partkey": 0, "l_discount": 0})
-    raw_bins = ev.select(F.hour("ts").alias("h"), bin_column(F.hour("ts"), REFERENCE_BINS).alias("b"))
-    cubes = {
-        "order": frequency(o.select(F.year("o_orderdate").alias("year"), "o_orderpriority"),
-                           ["year", "o_orderpriority"]),
-        "part": frequencies(pt, ["p_type", "p_brand"]),
-        "bin": frequency(binned_events(spark, sf_dir), ["time_bin", "event_type"]),
-        "season": frequency(seasoned_orders(spark, sf_dir), ["season", "o_orderpriority"]),
-        "precinct": frequency(lic, ["l_suppkey", "l_linenumber"]),
+from facets.functions import SEASONS
+from facets.operators import check_counts, frequencies, frequency, null_profile, top_k, top_k_per_group
+from facets.plans.supplied import binned_events, seasoned_orders
+from facets.sources import read_table
+
+Run = Callable[[DataFrame], None]
+
+
+def comparisons(spark: SparkSession, sf_dir: str, run: Run) -> dict[str, tuple[Callable[[], None], Callable[[], None]]]:
+    """Question -> (one job per part, one pass)."""
+    li, part = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")
+    binned, seasons = binned_events(spark, sf_dir), seasoned_orders(spark, sf_dir)
+    columns = ("p_brand", "p_type", "p_size")
+    season_names = sorted({s.label for s in SEASONS})
+    bins = ("Midnight", "Early Morning", "Morning", "Afternoon", "Evening", "Night")
+
+    def each(parts) -> Callable[[], None]:
+        def go() -> None:
+            for df in parts():
+                run(df)
+
+        return go
+
+    return {
+        "null_checks": (each(lambda: [li.where(F.col(c).isNull()).agg(F.count(F.lit(1))) for c in li.columns]),
+                        lambda: run(null_profile(li))),
+        "zero_checks": (each(lambda: [li.where(F.col(c) == 0).agg(F.count(F.lit(1))) for c in ("l_suppkey", "l_partkey", "l_discount")]),
+                        lambda: run(check_counts(li, {c: F.col(c) == 0 for c in ("l_suppkey", "l_partkey", "l_discount")}))),
+        "top_per_bin": (each(lambda: [top_k(binned.where(F.col("time_bin") == b), "event_type", 3) for b in bins]),
+                        lambda: run(top_k_per_group(binned, "time_bin", "event_type", 3))),
+        "top_per_season": (each(lambda: [top_k(seasons.where(F.col("season") == s), "o_orderpriority", 3) for s in season_names]),
+                           lambda: run(top_k_per_group(seasons, "season", "o_orderpriority", 3))),
+        "several_columns": (each(lambda: [top_k(frequency(part, c), c, 6, by="n") for c in columns]),
+                            lambda: run(top_k_per_group(frequencies(part, columns), "column_name", "value", 6, by="n"))),
     }
-    c = {name: materialize(df) for name, df in cubes.items()}
-
-    def part_counts(col):
-        return c["part"].where(F.col("column_name") == col).select(F.col("value").alias(col), "n")
-
-    priorities = frequency(c["order"], "o_orderpriority", count="key", by="n")
-    top_binned = restrict_to_top_keys(c["bin"], "event_type", 3, by="n")
-    answers = [
-        check_counts(li, {"rows": F.lit(True), **{f"zero|{col}": F.col(col) == 0 for col in ZERO_CHECKED}}),
-        frequency(c["order"], "year", count="key", by="n"),
-        frequency(c["order"].where(F.col("year") == 1998), "year", count="key", by="n"),
-        top_k(priorities, "o_orderpriority", 6, by="n"),
-        priorities.where(F.col("o_orderpriority") == PLACEHOLDER),
-        uniqueness(o, "o_orderkey"), value_range(o, "o_orderdate"), distinct_values(priorities, "o_orderpriority"),
-        top_k(frequency(c["precinct"], "l_linenumber", count="key", by="n"), "l_linenumber", 6, by="n"),
-        top_k(part_counts("p_type"), "p_type", 5, by="n"), bottom_k(part_counts("p_type"), "p_type", 5, by="n"),
-        top_k(part_counts("p_brand"), "p_brand", 5, by="n"), bottom_k(part_counts("p_brand"), "p_brand", 5, by="n"),
-        top_k(frequency(c["precinct"], "l_suppkey", count="key", by="n"), "l_suppkey", 6, by="n"),
-        top_k(lic, "l_partkey", 6, count="key"),
-        top_k_in_top_groups(c["precinct"], "l_suppkey", "l_linenumber", 3, 6, by="n"),
-        check_counts(ev, {f"null|{col}": F.col(col).isNull() for col in ev.columns}), unbinned(raw_bins, "b"),
-        frequency(c["bin"], "time_bin", count="event_type", by="n"),
-        top_k_per_group(c["bin"], "time_bin", "event_type", 3, by="n"),
-        top_binned, mode_group(top_binned, "event_type", "time_bin", by="n"),
-        frequency(c["season"], "season", count="o_orderpriority", by="n"),
-        top_k_per_group(c["season"], "season", "o_orderpriority", 3, by="n"),
-        priced_top_k(ev, "event_type", 3, RATES), total_of_top_k(ev, "event_type", 3),
-    ]
-    for a in answers:
-        _noop(a)
-    return len(answers) + len(cubes)
