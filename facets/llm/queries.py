@@ -24,7 +24,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
     score = F.col("p_toxic")
     return toxicity.predict(docs, chain).select(
-        "doc_id", score.alias("score"), (score >= 0.5).cast("int").alias("toxic"), (score < 0.5).alias("kept"),
+        "doc_id", score.alias("score"), (score >= chain.threshold).cast("int").alias("toxic"), (score < chain.threshold).alias("kept"),
         "p_insult", "p_contempt")
 
 

@@ -156,11 +156,20 @@ def test_toxicity_chain(shipped):
     assert chain.categories == ["insult", "contempt", "toxic"]
     assert [len(w) - len(chain.buckets) - 1 for w in chain.weights] == [0, 1, 2]
     out = {r.doc_id: r for r in toxicity.predict(docs, chain).collect()}
-    held = [(out[i].p_toxic >= 0.5) == bool(y) for i, _, y in rows if not i % 3]
+    held = [(out[i].p_toxic >= chain.threshold) == bool(y) for i, _, y in rows if not i % 3]
     assert np.mean(held) > 0.96
-    assert all(out[i].p_insult > 0.5 for i, t, _ in rows if "Idiot" in t)
+    insults = {i for i, t, _ in rows if "Idiot" in t}
+    assert np.mean([out[i].p_insult for i in insults]) > 0.5 > 10 * np.mean([out[i].p_insult for i in out if i not in insults])
     kept = toxicity.drop_toxic(docs, chain)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if r.p_toxic < 0.5}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if r.p_toxic < chain.threshold}
+
+
+def test_threshold_has_the_best_f_measure():
+    p, y = np.array([0.9, 0.8, 0.4, 0.3, 0.25, 0.1]), np.array([1, 1, 1, 0, 0, 0.0])
+    assert toxicity.best_threshold(p, y) == pytest.approx(0.35)
+    assert toxicity.best_threshold(np.array([0.6, 0.6, 0.1]), np.array([1, 0, 0.0])) == pytest.approx(0.35)
+    noisy = np.array([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3]), np.array([1, 1, 1, 0, 0, 0, 1.0])
+    assert toxicity.best_threshold(*noisy) == pytest.approx(0.65)
 
 
 def test_toxicity_odd_rows(shipped):
