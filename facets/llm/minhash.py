@@ -262,13 +262,14 @@ ORACLE_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents
-), s AS (
-  SELECT doc_id, CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
-         WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS sh
-  FROM w
-), n AS (SELECT doc_id, len(sh) AS n_shingles FROM s
-), u AS (SELECT doc_id, unnest(sh) AS token FROM s
+), x AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS nth FROM w
+), y AS (
+  SELECT doc_id, word || ' ' || lead(word) OVER p || ' ' || lead(word, 2) OVER p || ' ' || lead(word, 3) OVER p AS token
+  FROM x WINDOW p AS (PARTITION BY doc_id ORDER BY nth)
+), u AS (
+  SELECT DISTINCT doc_id, token FROM y WHERE token IS NOT NULL
+  UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 3
+), n AS (SELECT d.doc_id, count(u.token) AS n_shingles FROM documents d LEFT JOIN u USING (doc_id) GROUP BY d.doc_id
 ), c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM u x JOIN u y USING (token)
   WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
 ), l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
