@@ -5,7 +5,6 @@ import zlib
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from facets.llm import boosting, langid, quality, toxicity, url_filter
 from facets.llm.common import read_table
 from facets.llm.queries import QUERIES
@@ -180,25 +179,3 @@ def test_toxicity_odd_rows(shipped):
         assert toxicity.predict(docs, chain).count() == docs.count()
     assert toxicity.drop_toxic(docs, chain).count() == docs.count()
     assert toxicity.predict(empty_documents(shipped), toxicity.fit(empty_documents(shipped), labels)).count() == 0
-
-
-def test_pipeline_stages(shipped, tmp_path):
-    sf = "/root/testdata/sf0.001"
-    docs = read_table(shipped, sf, "documents")
-    names = [n for n, _ in corpus_pipeline.STAGES]
-    assert names == ["toxicity", "exact_dedup", "near_dedup", "mixing", "bpe"]
-    toxic = {r.doc_id for r in read_table(shipped, sf, "labels").where("toxic = 1").collect()}
-    sizes = [docs.count()]
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(shipped, docs, sf)
-        assert out.columns == docs.columns or k == 4
-        out.write.parquet(str(tmp_path / str(k)))
-        docs = shipped.read.parquet(str(tmp_path / str(k)))
-        sizes.append(docs.count())
-        if k == 0:
-            assert len({r.doc_id for r in docs.collect()} & toxic) < 0.35 * len(toxic)
-        if k == 2:
-            kept = {r.doc_id: r.text for r in docs.collect()}
-    assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] and sizes[4] == sizes[5]
-    assert len(set(kept.values())) == len(kept)
-    assert set(docs.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
