@@ -126,11 +126,12 @@ def route(capacity: list[int], members: list[list[int]], quotas: list[int], copi
 
 @dataclass
 class Mix:
-    """``rows``: the input rows with ``_mix_key`` (pattern), ``_mix_size``
-    (words) and ``_mix_copies``; ``sources``: (source, size, target, routed)
-    of each source in code-point order."""
+    """``rows``: the input rows with ``key`` (pattern), ``size`` (words) and
+    ``copies``, all three after ``prefix``; ``sources``: (source, size, target,
+    routed) of each source in code-point order."""
 
     rows: DataFrame
+    prefix: str
     sources: list[tuple[str | None, int, float, int]]
 
 
@@ -150,55 +151,57 @@ def mix(docs: DataFrame, weights: Callable[[list[str | None]], list[float]], id_
     belongs to none and is not taken. Null or empty texts have size 0. The
     order in which documents get a further copy depends on ``seed`` and the id
     alone, so reruns agree; repeated ids are ordered by size and text, null ids
-    share one place. An empty table gives no rows and no sources. Column names
-    that start with ``_mix_`` are reserved.
+    share one place. An empty table gives no rows and no sources.
     """
     spark = docs.sparkSession
+    p = "_mix_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = "_" + p
     own = F.col(f"`{source_col}`")
     is_list = docs.schema[source_col].dataType.typeName() == "array"
     pattern = F.array_sort(F.array_distinct(own.cast("array<string>"))) if is_list else F.array(own.cast("string"))
     key = F.to_json(F.struct(F.coalesce(pattern, F.array(F.lit(None).cast("string"))).alias("s")), {"ignoreNullFields": "false"})
     place = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("string"))
-    rows = docs.withColumns({"_mix_key": key, "_mix_size": word_count(F.col(f"`{text_col}`").cast("string")),
-                             "_mix_place": place, "_mix_share": F.shiftrightunsigned(place, 52)})
+    rows = docs.withColumns({f"{p}key": key, f"{p}size": word_count(F.col(f"`{text_col}`").cast("string")),
+                             f"{p}place": place, f"{p}share": F.shiftrightunsigned(place, 52)})
 
-    sums = materialize(rows.groupBy("_mix_key", "_mix_share").agg(F.sum("_mix_size").alias("words")))
-    per_pattern = sums.groupBy("_mix_key").agg(F.sum("words").alias("words")).limit(MOST_PATTERNS + 1).collect()
+    sums = materialize(rows.groupBy(f"{p}key", f"{p}share").agg(F.sum(f"{p}size").alias("words")))
+    per_pattern = sums.groupBy(f"{p}key").agg(F.sum("words").alias("words")).limit(MOST_PATTERNS + 1).collect()
     if len(per_pattern) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
-    patterns = sorted(((json.loads(r["_mix_key"])["s"], r["_mix_key"], int(r["words"])) for r in per_pattern), key=lambda x: x[1])
-    names = sorted({s for p, _, _ in patterns for s in p}, key=_order_key)
+    patterns = sorted(((json.loads(r[f"{p}key"])["s"], r[f"{p}key"], int(r["words"])) for r in per_pattern), key=lambda x: x[1])
+    names = sorted({s for own, _, _ in patterns for s in own}, key=_order_key)
     at = {s: i for i, s in enumerate(names)}
     sizes = [0] * len(names)
-    for p, _, n in patterns:
-        for s in p:
+    for own, _, n in patterns:
+        for s in own:
             sizes[at[s]] += n
-    targets = capped_targets(sizes, weights(names), copies, sum(n for p, _, n in patterns if p))
-    flows = route([n for _, _, n in patterns], [[at[s] for s in p] for p, _, _ in patterns],
+    targets = capped_targets(sizes, weights(names), copies, sum(n for own, _, n in patterns if own))
+    flows = route([n for _, _, n in patterns], [[at[s] for s in own] for own, _, _ in patterns],
                   [round(t) for t in targets], copies)
 
     # whole rounds of a pattern, and the words to be had from one more copy of some documents
     wanted = [(k, *divmod(sum(f.values()), n)) if n else (k, 0, 0) for (_, k, n), f in zip(patterns, flows, strict=True)]
-    plan = spark.createDataFrame(wanted, "_mix_key string, _mix_whole long, _mix_rest long")
-    so_far = F.sum("words").over(Window.partitionBy("_mix_key").orderBy("_mix_share"))
-    ends = (sums.join(F.broadcast(plan), "_mix_key").withColumn("upto", so_far)
-            .where((F.col("upto") >= F.col("_mix_rest")) & (F.col("upto") - F.col("words") < F.col("_mix_rest"))))
+    plan = spark.createDataFrame(wanted, f"{p}key string, {p}whole long, {p}rest long")
+    so_far = F.sum("words").over(Window.partitionBy(f"{p}key").orderBy(f"{p}share"))
+    ends = (sums.join(F.broadcast(plan), f"{p}key").withColumn("upto", so_far)
+            .where((F.col("upto") >= F.col(f"{p}rest")) & (F.col("upto") - F.col("words") < F.col(f"{p}rest"))))
     # one row for each pattern: no more than MOST_PATTERNS short rows
-    plan = materialize(plan.join(ends.groupBy("_mix_key").agg(F.min("_mix_share").alias("_mix_end"), F.min(F.col("upto") - F.col("words")).alias("_mix_before")),
-                                 "_mix_key", "left"))
-    placed = rows.join(F.broadcast(plan.withColumnRenamed("_mix_key", "_mix_plan")), F.col("_mix_key") == F.col("_mix_plan")).drop("_mix_plan")
-    at_end = F.col("_mix_share").eqNullSafe(F.col("_mix_end"))
-    early = F.when(F.col("_mix_end").isNotNull() & (F.col("_mix_share") < F.col("_mix_end")), 1).otherwise(0)
-    order = (Window.partitionBy("_mix_key").orderBy("_mix_place", "_mix_size", f"`{text_col}`")
+    plan = materialize(plan.join(ends.groupBy(f"{p}key").agg(F.min(f"{p}share").alias(f"{p}end"), F.min(F.col("upto") - F.col("words")).alias(f"{p}before")),
+                                 f"{p}key", "left"))
+    placed = rows.join(F.broadcast(plan.withColumnRenamed(f"{p}key", f"{p}plan")), F.col(f"{p}key") == F.col(f"{p}plan")).drop(f"{p}plan")
+    at_end = F.col(f"{p}share").eqNullSafe(F.col(f"{p}end"))
+    early = F.when(F.col(f"{p}end").isNotNull() & (F.col(f"{p}share") < F.col(f"{p}end")), 1).otherwise(0)
+    order = (Window.partitionBy(f"{p}key").orderBy(f"{p}place", f"{p}size", f"`{text_col}`")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    middle = F.col("_mix_before") + F.sum("_mix_size").over(order) - F.col("_mix_size") / 2
-    done = placed.where(~at_end).withColumn("_mix_copies", F.col("_mix_whole") + early).unionByName(
-        placed.where(at_end).withColumn("_mix_copies", F.col("_mix_whole") + F.when(middle <= F.col("_mix_rest"), 1).otherwise(0)))
+    middle = F.col(f"{p}before") + F.sum(f"{p}size").over(order) - F.col(f"{p}size") / 2
+    done = placed.where(~at_end).withColumn(f"{p}copies", F.col(f"{p}whole") + early).unionByName(
+        placed.where(at_end).withColumn(f"{p}copies", F.col(f"{p}whole") + F.when(middle <= F.col(f"{p}rest"), 1).otherwise(0)))
     routed = [0] * len(names)
     for f in flows:
         for s, n in f.items():
             routed[s] += n
-    return Mix(done.drop("_mix_place", "_mix_share", "_mix_whole", "_mix_rest", "_mix_end", "_mix_before"),
+    return Mix(done.drop(f"{p}place", f"{p}share", f"{p}whole", f"{p}rest", f"{p}end", f"{p}before"), p,
                list(zip(names, sizes, targets, routed, strict=True)))
 
 
@@ -206,8 +209,9 @@ def mixed_documents(docs: DataFrame, weights: Callable[[list[str | None]], list[
     """``docs`` as the mix takes them: each row as often as it has copies,
     columns unchanged."""
     names = docs.columns
-    rows = mix(docs, weights, **options).rows.where("_mix_copies > 0")
-    return rows.withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(
+    found = mix(docs, weights, **options)
+    p = found.prefix
+    return found.rows.where(F.col(f"{p}copies") > 0).withColumn(f"{p}nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{p}copies")))).select(
         *[f"`{c}`" for c in names])
 
 
@@ -217,8 +221,10 @@ def mix_report(docs: DataFrame, weights: Callable[[list[str | None]], list[float
     one source each: a row per document, those not taken included."""
     spark = docs.sparkSession
     found = mix(docs, weights, id_col=id_col, source_col=source_col, **options)
-    table = spark.createDataFrame([(s, n, t) for s, n, t, _ in found.sources], "_s string, source_size long, target double")
+    p = found.prefix
+    table = spark.createDataFrame([(s, n, t) for s, n, t, _ in found.sources], f"{p}s string, {p}source_size long, {p}target double")
     # one short row for each source: no more than there are patterns
-    rows = found.rows.join(F.broadcast(table), F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("_s")), "left")
-    return rows.select(F.col(f"`{id_col}`").alias("doc_id"), F.col("_mix_size").alias("size"), "source_size", "target",
-                       (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"), F.col(f"`{source_col}`").alias("source"))
+    rows = found.rows.join(F.broadcast(table), F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(f"{p}s")), "left")
+    return rows.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"{p}size").alias("size"),
+                       F.col(f"{p}source_size").alias("source_size"), F.col(f"{p}target").alias("target"),
+                       (F.col(f"{p}copies") * F.col(f"{p}size")).alias("taken"), F.col(f"`{source_col}`").alias("source"))

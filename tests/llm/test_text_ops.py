@@ -230,7 +230,7 @@ def test_mix_overlapping_sources(shipped):
     assert [n for _, n, *_ in found.sources] == [600, 200, 100]
     for _, _, target, routed in found.sources:
         assert abs(target - routed) <= 1
-    copies = {r.doc_id: r._mix_copies for r in found.rows.collect()}
+    copies = {r.doc_id: r[f"{found.prefix}copies"] for r in found.rows.collect()}
     assert max(copies.values()) <= 3 and all(copies[i] == 0 for i in range(70, 80))
     assert sum(copies.values()) * 10 == pytest.approx(sum(r for *_, r in found.sources), abs=30)
 
@@ -239,6 +239,8 @@ def test_mix_odd_rows(shipped):
     docs = odd_documents(shipped)
     out = mixing.mix_report(docs, mixing.cyclic_weights(5, 2, 1))
     assert out.count() == docs.count()
+    clash = docs.withColumnRenamed("digest", "_mix_size").withColumnRenamed("token", "target")
+    assert mixing.mixed_documents(clash, mixing.cyclic_weights(5, 2, 1)).columns == clash.columns
     mixed = mixing.mixed_documents(docs, mixing.cyclic_weights(5, 2, 1))
     assert mixed.columns == docs.columns
     assert mixing.mixed_documents(empty_documents(shipped), mixing.cyclic_weights(5, 2, 1)).count() == 0
