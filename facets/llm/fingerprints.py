@@ -172,7 +172,8 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ranges = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = 4 * tasks  # several short ranges a task even out what hashing deals to it
     cuts = sorted(set(rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges)))
     # ranges are numbered in ring order from 0, null ids in the last one
     rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1))
@@ -188,7 +189,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
              .select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"),
                      F.col("goes_to").alias("part"), F.lit(True).alias("tail")))
     dealt = (rows.withColumn("tail", F.lit(False)).unionByName(tails)
-             .repartition(ranges, "part")
+             .repartition(tasks, "part")
              .sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text"))
     return (dealt.select("doc_id", "text", "tail").mapInArrow(
         _with_next(k, width), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
