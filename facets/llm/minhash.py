@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = classes.select(F.col("rep").alias("lead"), F.col("n").alias("lead_n"))
     star = (members.where("rep <> lead").select("lead", "rep", "n").distinct().join(size, "lead")
             .where(_size_fits(F.col("n"), F.col("lead_n"), percent))
-            .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
+            .select(F.col("lead").alias("a"), F.col("rep").alias("b")))
     links = materialize(confirmed(star, texts, width, percent))
 
     joined = connected_components(links)
