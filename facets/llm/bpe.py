@@ -162,6 +162,11 @@ class Vocabulary:
             end -= length
         return tuple(reversed(ids))
 
+    def forget(self) -> None:
+        """Give up the memory of words and pairs."""
+        self.words.clear()
+        self._fits.clear()
+
     def _segment(self, text: str) -> list[tuple[int, ...]]:
         text = unicodedata.normalize("NFC", text)
         # lower-casing goes by character: a final sigma is no special case
@@ -261,6 +266,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
                 ids = [v.encode(t) for t in texts]
                 out = made(ids, [v.decode(x.tolist()) for x in ids])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *out], names=names)
+        v.forget()  # Spark keeps the worker for other tasks, of other jobs too
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, f"doc_id {id_type}, {columns}"))

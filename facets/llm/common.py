@@ -40,9 +40,17 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 _shipped: set[str] = set()
 
 
+#: Bytes of an Arrow batch that Spark hands to a task, in place of its default of 64 MB.
+BATCH_BYTES = "8m"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per Spark
-    application, as ``--py-files`` would: Spark serves the archive to them."""
+    application, as ``--py-files`` would: Spark serves the archive to them.
+    Batches of text are also kept small (unless the session has a limit of its
+    own): they are held outside the heap, by the JVM and by each worker."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
