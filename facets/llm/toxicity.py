@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,22 +93,23 @@ class Chain:
         return sigmoid(odds)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Weights of an L2-penalised logistic regression whose last column is the
-    constant, by accelerated gradient steps."""
-    w = np.zeros(x.shape[1], np.float32)
+def _logistic(parts: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200) -> np.ndarray:
+    """Weights of an L2-penalised logistic regression whose first column is the
+    constant, by accelerated gradient steps over all parts (rows, labels)."""
+    parts = [(x, y) for x, y in parts if len(y)]
+    w = np.zeros(parts[0][0].shape[1], np.float32)
     v, t = w.copy(), 1.0
     shrink = np.full(len(w), PENALTY, np.float32)
-    shrink[-1] = 0.0
-    # step from a bound on the curvature: power iterations on x' c x / 4
+    shrink[0] = 0.0
+    # step from a bound on the curvature: power iterations on x' x / 4
     u = np.ones(len(w), np.float32)
     for _ in range(8):
-        u = x.T @ (x @ u) / 4
+        u = sum(x.T @ (x @ u) for x, _ in parts) / 4
         norm = float(np.linalg.norm(u)) or 1.0
         u /= norm
     step = 1.0 / (1.1 * norm + PENALTY)
     for _ in range(rounds):
-        g = x.T @ (sigmoid(x @ v) - y).astype(np.float32) + shrink * v
+        g = sum(x.T @ (sigmoid(x @ v) - y).astype(np.float32) for x, y in parts) + shrink * v
         new = v - step * g
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         v = new + np.float32((t - 1) / t_new) * (new - w)
@@ -181,48 +183,62 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     told = np.unique(np.concatenate([term_buckets(t) for t in categories.values()])) if categories else np.zeros(0, np.int64)
     candidates = np.unique(np.concatenate([np.asarray(often["bucket"], dtype=np.int64), told]))
     id_type = docs.schema[id_col].dataType.simpleString()
-    table = (sample.mapInArrow(lambda batches: _pick(candidates, batches), f"id {id_type}, label int, features array<int>")
-             .toArrow().sort_by([("id", "ascending"), ("label", "ascending")]))
-    y = np.asarray(table["label"]).astype(np.float32)
-    lists = table["features"].combine_chunks()
-    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    row = np.repeat(np.arange(len(y)), np.diff(np.asarray(lists.offsets)))
-    at = np.asarray(lists.flatten())
-    if not y.sum():
+    table = sample.mapInArrow(lambda batches: _pick(candidates, batches), f"id {id_type}, label int, features array<int>").toArrow()
+    if not pc.sum(table["label"]).as_py():
         return Chain(names, np.zeros(0, np.int64), [np.append(np.zeros(i), -8.0) for i in range(len(names))])
 
+    # rows in the order of (fold, id), whatever the order they came in; a fold is a slice
+    rank = np.empty(len(table), np.int64)
+    rank[np.asarray(pc.sort_indices(table.select(["id", "label"]), sort_keys=[("id", "ascending"), ("label", "ascending")]))] = np.arange(len(table))
+    fold = (mix64(rank.astype(np.uint64) + np.uint64(1)) % np.uint64(FOLDS)).astype(int)
+    spot = np.empty(len(table), np.int64)
+    spot[np.lexsort((rank, fold))] = np.arange(len(table))
+    y = np.empty(len(table), np.float32)
+    y[spot] = np.asarray(table["label"])
+    edges = np.concatenate(([0], np.cumsum(np.bincount(fold, minlength=FOLDS))))
+
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, candidate) of a few hundred rows at a time."""
+        first = 0
+        for batch in table.to_batches(max_chunksize=512):
+            lists = batch.column(2)
+            yield np.repeat(spot[first:first + len(lists)], np.diff(np.asarray(lists.offsets))), np.asarray(lists.flatten())
+            first += len(lists)
+
     # features by how many more toxic than other rows have them, in standard deviations
-    n_1 = np.bincount(at, y[row], len(candidates))
-    n_0 = np.bincount(at, 1 - y[row], len(candidates))
-    p_1, p_0 = n_1 / y.sum(), n_0 / max(len(y) - y.sum(), 1)
-    z = (p_1 - p_0) / np.sqrt(p_1 * (1 - p_1) / y.sum() + (n_0 + 1) / max(len(y) - y.sum(), 1) ** 2)
+    n_1, n_0 = np.zeros(len(candidates)), np.zeros(len(candidates))
+    has = np.zeros((len(categories), len(y)), bool)
+    named = [np.isin(candidates, term_buckets(terms)) for terms in categories.values()]
+    for row, at in batches():
+        n_1 += np.bincount(at, y[row], len(candidates))
+        n_0 += np.bincount(at, 1 - y[row], len(candidates))
+        for k, own in enumerate(named):
+            has[k][row[own[at]]] = True
+    others = max(len(y) - y.sum(), 1)
+    p_1, p_0 = n_1 / y.sum(), n_0 / others
+    z = (p_1 - p_0) / np.sqrt(p_1 * (1 - p_1) / y.sum() + (n_0 + 1) / others ** 2)
     best = np.sort(np.lexsort((candidates, -z))[:most_features])
-    buckets = candidates[best]
+    # columns: constant, log-odds of the earlier categories (0 until they are known), features
+    x = np.zeros((len(y), 1 + len(names) + len(best)), np.float32)
+    x[:, 0] = 1
     place = np.full(len(candidates), -1)
-    place[best] = np.arange(len(best))
-    hit = place[at] >= 0
-    x = np.zeros((len(y), len(best) + 1), np.float32)
-    x[row[hit], place[at[hit]]] = 1
-    x[:, -1] = 1
-
-    targets = []
-    for terms in categories.values():
-        own = np.isin(candidates, term_buckets(terms))
-        has = np.bincount(row, own[at], len(y)) > 0
-        targets.append((has & (y > 0)).astype(np.float32))
-    targets.append(y)
-    fold = (mix64(np.arange(len(y), dtype=np.uint64) + np.uint64(1)) % np.uint64(FOLDS)).astype(int)
-    weights, odds = [], np.zeros((len(y), 0), np.float32)
-    for target in targets:
-        full = np.column_stack([x[:, :-1], odds, x[:, -1:]])
-        weights.append(_logistic(full, target).astype(float))
+    place[best] = np.arange(1 + len(names), x.shape[1])
+    for row, at in batches():
+        x[row[place[at] >= 0], place[at[place[at] >= 0]]] = 1
+
+    slices = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    weights = []
+    for k in range(len(names)):
+        target = y if k == len(categories) else (has[k] & (y > 0)).astype(np.float32)
+        w = _logistic([(x, target)]).astype(float)
+        weights.append(np.concatenate((w[1 + len(names):], w[1:1 + k], w[:1])))
         out = np.zeros(len(y), np.float32)
-        for f in range(FOLDS):
-            held = fold == f
-            if held.any():
-                out[held] = full[held] @ _logistic(full[~held], target[~held])
-        odds = np.column_stack([odds, np.clip(out, -8, 8)])
-    return Chain(names, buckets, weights, best_threshold(sigmoid(odds[:, -1]), y))
+        for f in slices:
+            rest = [(x[o], target[o]) for o in slices if o != f]
+            if any(len(t) for _, t in rest):
+                out[f] = x[f] @ _logistic(rest)
+        x[:, 1 + k] = np.clip(out, -8, 8)
+    return Chain(names, candidates[best], weights, best_threshold(sigmoid(x[:, len(names)]), y))
 
 
 def _scored(chain: Chain, text: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
