@@ -75,14 +75,6 @@ def in_fold(id_col: str, folds: int, fold: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def one_row_per_id(df: DataFrame, id_col: str) -> DataFrame:
-    """One row per id; of repeated ids any, but always the same: the smallest
-    in the order of the remaining columns."""
-    rest = [c for c in df.columns if c != id_col]
-    return (df.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row"))
-            .select(id_col, *[F.col("_row")[c].alias(c) for c in rest]))
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
