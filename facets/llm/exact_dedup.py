@@ -100,6 +100,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     where all rows stay and ``keep_id`` is null. Other columns are ignored;
     an empty table gives an empty result.
     """
+    _, resolved = _resolve(docs, id_col, text_col, counters)
+    return resolved.select(F.col("doc_id").alias(id_col), "keep_id", "group_size",
+                           F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                           F.col("digest").alias("text_sha256"))
+
+
+def _resolve(docs: DataFrame, id_col: str, text_col: str, counters: int) -> tuple[DataFrame, DataFrame]:
+    """Winners of the frequent digests (at most ``counters`` short rows), and
+    (doc_id, digest, keep_id, group_size) of all rows."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = materialize(with_digest(rows, "text", "digest").select("doc_id", "digest"))
     winner = (F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -108,25 +117,28 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     verified = materialize(marked.join(frequent, "digest").groupBy("digest").agg(*winner))
     split = marked.join(F.broadcast(verified), "digest", "left")
     rest = split.where(F.col("group_size").isNull()).select("doc_id", "digest")
-    resolved = (split.where(F.col("group_size").isNotNull())
-                .unionByName(rest.join(rest.groupBy("digest").agg(*winner), "digest")))
-    return resolved.select(F.col("doc_id").alias(id_col), "keep_id", "group_size",
-                           F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                           F.col("digest").alias("text_sha256"))
+    return verified, (split.where(F.col("group_size").isNotNull())
+                      .unionByName(rest.join(rest.groupBy("digest").agg(*winner), "digest")))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           counters: int = COUNTERS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, columns unchanged.
 
-    Rows that repeat both id and text are reduced to one as well."""
+    Rows that repeat both id and text are reduced to one as well. Copies of
+    frequent texts are removed on the map side, by the broadcast winners; what
+    is left meets the list of rows that stay."""
     names = docs.columns
-    sha, keep, nth = (spare_name(docs, n) for n in ("sha", "keep", "nth"))
-    kept = (exact_duplicates(docs, id_col, text_col, counters).where("kept")
-            .select(F.col(id_col).alias(keep), F.col("text_sha256").alias("kept_sha")).distinct())
+    sha, keep, kept_sha, nth = (spare_name(docs, n) for n in ("sha", "keep", "kept_sha", "nth"))
+    verified, resolved = _resolve(docs, id_col, text_col, counters)
+    kept = (resolved.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+            .select(F.col("doc_id").alias(keep), F.col("digest").alias(kept_sha)).distinct())
+    own = F.col(f"`{id_col}`")
+    copies = F.broadcast(verified.select(F.col("keep_id").alias(keep), F.col("digest").alias(kept_sha)))
     rows = with_digest(docs, text_col, sha)
-    rows = rows.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(keep)) & (F.col(sha) == F.col("kept_sha")), "left_semi")
-    order = Window.partitionBy(f"`{id_col}`", sha).orderBy(
+    rows = rows.join(copies, (F.col(sha) == F.col(kept_sha)) & ~own.eqNullSafe(F.col(keep)), "left_anti")
+    rows = rows.join(kept, own.eqNullSafe(F.col(keep)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
+    order = Window.partitionBy(own, sha).orderBy(
         F.xxhash64(*[f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind]))
     return rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*[f"`{c}`" for c in names])
 
