@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facets.llm import bpe, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
+from facets.llm import bpe, collocations, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
 from facets.llm.common import documents, in_fold, read_table, ship_package
 
 
@@ -69,6 +69,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language of all documents."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -85,10 +90,11 @@ def _ready(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _ready(q) for q in (
     op1_toxicity, op2_bpe, op3_line_dedup, op4_mixing, op5_quality, op6_url_filter, op7_langid, op8_exact_dedup, op9_fingerprints,
-    op10_minhash)}
+    op10_minhash, op11_collocations)}
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": line_dedup.oracle_sql(),
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_minhash": minhash.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
