@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facets.llm import bpe, collocations, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
+from facets.llm import bpe, collocations, exact_dedup, fingerprints, hard_negatives, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
 from facets.llm.common import documents, in_fold, read_table, ship_package
 
 
@@ -74,6 +74,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every 50th vector;
+    every seventh vector has a label of its own making."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(vectors, anchors=F.col("id") % 50 == 0)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -90,11 +98,12 @@ def _ready(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _ready(q) for q in (
     op1_toxicity, op2_bpe, op3_line_dedup, op4_mixing, op5_quality, op6_url_filter, op7_langid, op8_exact_dedup, op9_fingerprints,
-    op10_minhash, op11_collocations)}
+    op10_minhash, op11_collocations, op12_hard_negatives)}
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": line_dedup.oracle_sql(),
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_minhash": minhash.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
 }
