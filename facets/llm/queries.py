@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facets.llm import bpe, collocations, exact_dedup, fingerprints, hard_negatives, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter
+from facets.llm import bpe, collocations, exact_dedup, fingerprints, hard_negatives, langid, line_dedup, minhash, mixing, quality, toxicity, url_filter, vector_dedup
 from facets.llm.common import documents, in_fold, read_table, ship_package
 
 
@@ -82,6 +82,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, anchors=F.col("id") % 50 == 0)
 
 
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return vector_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -98,7 +103,7 @@ def _ready(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _ready(q) for q in (
     op1_toxicity, op2_bpe, op3_line_dedup, op4_mixing, op5_quality, op6_url_filter, op7_langid, op8_exact_dedup, op9_fingerprints,
-    op10_minhash, op11_collocations, op12_hard_negatives)}
+    op10_minhash, op11_collocations, op12_hard_negatives, op13_vector_dedup)}
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": line_dedup.oracle_sql(),
@@ -106,4 +111,5 @@ ORACLE: dict[str, str] = {
     "op10_minhash": minhash.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
     "op12_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op13_vector_dedup": vector_dedup.ORACLE_SQL,
 }
