@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize
+from facets.llm.common import materialize, salted_join
 
 
 def _mins(pairs: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternates two steps until nothing changes: each id hands its smallest
     partner to its larger partners (large star), then to its smaller ones
     (small star). The number of rounds grows with the logarithm of the
-    longest path. Links in either direction, repeated links and links of an
+    longest path; the links of a hub are dealt over several tasks. Links in either direction, repeated links and links of an
     id with itself are allowed; a link with a null end is ignored.
     """
     edges = materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -32,11 +32,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = _mins(both).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = (salted_join(both, m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         # in `large` every v is smaller than its u
         least = _mins(large)
-        small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (salted_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         edges = materialize(small)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

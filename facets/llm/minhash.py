@@ -4,10 +4,11 @@ One pass over the texts hashes every distinct shingle under each permutation
 and keeps both the minimum and the maximum, so ``2 * permutations`` signature
 lanes cost ``permutations`` evaluations. Bands of lanes give bucket keys.
 
-Documents with the same shingle set form a class and go on as one. Links are
-found in two steps, both confirmed on the full shingle sets:
+Documents with the same shingle set form a class and go on as one; sets move
+as hashes, texts do not. Links are found in two steps, both confirmed on the
+full shingle sets:
 
-1. In every bucket each member is compared with the bucket's smallest id. This
+1. In every bucket each member is compared with the bucket's first class. This
    joins large groups of near copies without forming all pairs of them.
 2. What may still be linked shares a bucket but not a component. Within those
    buckets an exact prefix filter finds the candidates: shingles are ordered
@@ -20,14 +21,16 @@ Components of the confirmed links come from distributed star contraction.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize, mix64, shingles, text_chunks
+from facets.llm.common import materialize, mix64, salted_join, shingles, spare_name, text_chunks
 from facets.llm.components import connected_components
 
 #: 32 bands of 5 lanes, from 80 evaluations of a hash: a link at a similarity
@@ -66,9 +69,26 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
-def _sketcher(width: int, bands: int, lanes: int):
-    import hashlib
+def _set_id(hashes: np.ndarray) -> bytes | None:
+    """SHA-256 of an ascending set; null if it is empty."""
+    return hashlib.sha256(hashes.tobytes()).digest() if len(hashes) else None
+
+
+def _set_column(width: int):
+    """The id of each text's shingle set."""
+
+    @F.pandas_udf("binary")
+    def ids(texts: pd.Series) -> pd.Series:
+        out = []
+        for _, data, offs in text_chunks(pa.array(texts, pa.large_string(), from_pandas=True)):
+            h, bounds = shingles(data, offs, width)
+            out += [_set_id(h[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return pd.Series(out, dtype=object)
+
+    return ids
+
 
+def _sketcher(width: int, bands: int, lanes: int):
     total = bands * lanes + (bands * lanes) % 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,9 +101,7 @@ def _sketcher(width: int, bands: int, lanes: int):
                 keys = np.zeros((0, bands), np.uint64)
                 if len(full):
                     keys = band_keys(signatures(h, bounds, total)[:, :bands * lanes], bands)
-                ids = [None] * rows
-                for r in full:
-                    ids[r] = hashlib.sha256(h[bounds[r]:bounds[r + 1]].tobytes()).digest()
+                ids = [_set_id(h[bounds[r]:bounds[r + 1]]) for r in range(rows)]
                 list_offs = np.concatenate(([0], np.cumsum((sizes > 0) * bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, rows), pa.array(sizes.astype(np.int64)), pa.array(ids, pa.binary()),
@@ -103,102 +121,137 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
                         f"doc_id {id_type}, n_shingles long, set_id binary, buckets array<long>"))
 
 
+def _hashed_sets(width: int, matched: bool):
+    """(c, tokens) of (c, text), or of (c, text, set_id) where the text's set
+    has that id; a set is its shingle hashes, ascending as unsigned numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column(2).to_pylist() if matched else None
+            for first, data, offs in text_chunks(batch.column(1)):
+                h, bounds = shingles(data, offs, width)
+                rows = np.arange(len(offs) - 1)
+                if matched:
+                    rows = np.array([r for r in rows if _set_id(h[bounds[r]:bounds[r + 1]]) == wanted[first + r]], np.int64)
+                taken = np.concatenate([h[bounds[r]:bounds[r + 1]] for r in rows] or [h[:0]]).view(np.int64)
+                list_offs = np.concatenate(([0], np.cumsum(np.diff(bounds)[rows]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + rows)), pa.ListArray.from_arrays(list_offs, pa.array(taken))],
+                                                 names=["c", "tokens"])
+
+    return run
+
+
+def hashed_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(c, tokens): the shingle set of each row of ``texts`` (c, text)."""
+    kind = texts.schema["c"].dataType.simpleString()
+    return texts.select("c", "text").mapInArrow(_hashed_sets(width, False), f"c {kind}, tokens array<long>")
+
+
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     both = np.concatenate((a, b))
     both.sort()
     return int((both[1:] == both[:-1]).sum())
 
 
-def _confirm(width: int, percent: int):
-    """Keeps the (a, b) whose sets reach the similarity; a's text is hashed
-    once for consecutive rows with the same a."""
-
-    def set_of(text: str | None) -> np.ndarray:
-        return next((shingles(d, o, width)[0] for _, d, o in text_chunks(pa.array([text], pa.large_string()))),
-                    np.zeros(0, np.uint64))
+def _confirm(percent: int):
+    """Keeps the (a, b) whose sets reach the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
         for batch in batches:
-            a_ids, b_ids, a_texts, b_texts = batch.columns
+            offsets = [np.asarray(c.offsets) for c in batch.columns[2:]]
+            values = [np.asarray(c.values) for c in batch.columns[2:]]
             good = []
             for i in range(batch.num_rows):
-                text = a_texts[i].as_py()
-                if held is None or text != last:
-                    last, held = text, set_of(text)
-                other = set_of(b_texts[i].as_py())
-                common = _overlap(held, other)
-                union = len(held) + len(other) - common
+                a, b = (v[o[i]:o[i + 1]] for v, o in zip(values, offsets, strict=True))
+                common = _overlap(a, b)
+                union = len(a) + len(b) - common
                 if union and 100 * common >= percent * union:
                     good.append(i)
             picked = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_arrays([a_ids.take(picked), b_ids.take(picked)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(picked), batch.column(1).take(picked)], names=["a", "b"])
 
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the distinct (a, b) whose full shingle sets reach ``percent``."""
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    rows = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a"))
-    return (rows.select("a", "b", "a_text", "b_text")
-            .mapInArrow(_confirm(width, percent), f"a {id_type}, b {id_type}"))
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct (a, b) whose sets in ``sets`` (c, tokens) reach
+    ``percent``; many pairs may have one a."""
+    kind = sets.schema["c"].dataType.simpleString()
+    rows = salted_join(pairs.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("b_tokens")), "b"),
+                       sets.select(F.col("c").alias("a"), F.col("tokens").alias("a_tokens")), "a")
+    return rows.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_confirm(percent), f"a {kind}, b {kind}")
 
 
 def _size_fits(m: Column, n: Column, percent: int) -> Column:
     return 100 * F.least(m, n) >= percent * F.greatest(m, n)
 
 
-def _tokens(width: int):
-    """(doc_id, token) for every distinct shingle of each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, data, offs in text_chunks(batch.column(1)):
-                h, bounds = shingles(data, offs, width)
-                at = np.repeat(np.arange(first, first + len(offs) - 1), np.diff(bounds))
-                for s in range(0, len(h), 1 << 17):
-                    rows = pa.array(at[s:s + (1 << 17)])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), pa.array(h[s:s + (1 << 17)].view(np.int64))],
-                        names=["doc_id", "token"])
-
-    return run
-
-
-def prefix_pairs(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distinct candidate pairs (a < b) of different components among
-    ``members`` (doc_id, n, component); exact for any similarity of at least
+    ``members`` (c, n, component); exact for any similarity of at least
     ``percent`` among them.
 
     A pair of sets of m and n shingles reaches the threshold only with
     ``need = ceil(percent * (m + n) / (100 + percent))`` common ones, so in a
     common order of shingles the first common one has no more than m - need
     others before it in one set and n - need in the other. With rare shingles
-    first, passages that many documents share come too late to matter.
+    first, passages that many documents share come too late to matter. The
+    sets with a shingle that is frequent nevertheless are dealt over as many
+    tasks as there are hundreds of them.
     """
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    tokens = (texts.join(members.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
-              .mapInArrow(_tokens(width), f"doc_id {id_type}, token long"))
+    tokens = sets.join(members.select("c"), "c", "left_semi").select("c", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    lists = (tokens.join(shared, "token").groupBy("doc_id")
+    lists = (salted_join(tokens, shared, "token").groupBy("c")
              .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common")))
     # shingles of one document alone come first in the order: n - size(common) of them
-    early = (lists.join(members, "doc_id")
+    early = (lists.join(members, "c")
              .withColumn("alone", F.col("n") - F.size("common"))
-             .select("doc_id", "n", "component", "alone",
+             .select("c", "n", "component", "alone",
                      F.posexplode(F.expr(f"slice(common, 1, greatest(0, cast(n - ceil({percent} * n / 100.0) + 1 - alone as int)))"))
                      .alias("nth", "entry"))
-             .select("doc_id", "n", "component", F.col("entry.token").alias("token"),
-                     (F.col("alone") + F.col("nth")).alias("before")))
-    x = early.select("token", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "component", "before")])
-    y = early.select("token", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "n", "component", "before")])
+             .select("c", "n", "component", F.col("entry.token").alias("token"),
+                     F.least(F.col("entry.df") / 100 + 1, F.lit(64)).cast("int").alias("salts"), (F.col("alone") + F.col("nth")).alias("before")))
+    side = ("c", "n", "component", "before")
+    x = early.select("token", F.pmod(F.xxhash64("c"), "salts").cast("int").alias("salt"), *[F.col(c).alias(f"x_{c}") for c in side])
+    y = early.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *[F.col(c).alias(f"y_{c}") for c in side])
     need = f"ceil({percent} * (x_n + y_n) / {100 + percent}.0)"
-    near = x.join(y, (x["token"] == y["token"]) & F.expr(
-        f"x_doc_id < y_doc_id and x_component <> y_component and x_before <= x_n - {need} and y_before <= y_n - {need}")
+    near = x.join(y, ["token", "salt"]).where(F.expr(
+        f"x_c < y_c and x_component <> y_component and x_before <= x_n - {need} and y_before <= y_n - {need}")
         & _size_fits(F.col("x_n"), F.col("y_n"), percent))
-    return near.select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct()
+    return near.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct()
+
+
+def linked_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, bands: int,
+                lanes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n_shingles, set_id) of each row; (c, set_id, doc_id) of each
+    distinct set, with the smallest id that has it; links (a, b) of sets."""
+    marked = materialize(sketches(docs, id_col, text_col, width, bands, lanes))
+    usable = marked.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
+    classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
+                                                       F.first("buckets").alias("buckets")).withColumn("c", F.monotonically_increasing_id()))
+    rows = classes.select("c", "n", F.explode("buckets").alias("bucket"))
+    lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"))
+            .where("first.lead < last").select("bucket", "first.*"))
+    members = materialize(salted_join(rows, lead, "bucket"))
+
+    # one row of each set that shares a bucket; an id may have several texts, so the set is checked
+    crowd = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "set_id", "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sets = materialize(texts.join(crowd, "doc_id").select("c", "text", "set_id")
+                       .mapInArrow(_hashed_sets(width, True), "c long, tokens array<long>").dropDuplicates(["c"]))
+    star = (members.where("c <> lead").where(_size_fits(F.col("n"), F.col("lead_n"), percent))
+            .select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct())
+    links = materialize(confirmed(star, sets, percent))
+
+    joined = connected_components(links)
+    placed = members.select("bucket", "c", "n").join(joined.withColumnRenamed("id", "c"), "c", "left").select(
+        "bucket", "c", "n", F.coalesce("component", "c").alias("component"))
+    open_buckets = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                    .where("lo < hi").select("bucket"))
+    left = materialize(placed.join(open_buckets, "bucket", "left_semi").groupBy("c")
+                       .agg(F.min("n").alias("n"), F.min("component").alias("component")))
+    more = confirmed(prefix_pairs(left, sets, percent), sets, percent)
+    return marked.select("doc_id", "n_shingles", "set_id"), classes.select("c", "set_id", "doc_id"), materialize(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -210,52 +263,66 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the distinct shingles of ``width`` words, or the whole sequence if there are
     fewer. Sets are linked when 100 * intersection >= ``percent`` * union.
 
-    A null or empty text, or one without words, has an empty set and is linked
-    with nothing. A row with a null id is linked with nothing either: its
-    component is null and it is kept. Rows with the same id are one node: they
-    share a component, and each keeps its own set size. Other columns are
-    ignored; an empty table gives an empty result.
+    A null or empty text, or one without words, has an empty set, which is
+    linked with nothing. A row with a null id is linked with nothing either: its
+    component is null and it is kept. Rows with one id are one node, linked by
+    all their sets: they share a component, and each keeps its own set size.
+    Other columns are ignored; an empty table gives an empty result.
     """
-    marked = materialize(sketches(docs, id_col, text_col, width, bands, lanes))
-    usable = marked.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                       F.first("buckets").alias("buckets")))
-    rows = classes.select("rep", "n", F.explode("buckets").alias("bucket"))
-    crowded = rows.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
-    members = materialize(rows.join(crowded.select("bucket", "lead"), "bucket"))
-
-    ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-                        .join(ids, "doc_id", "left_semi"))
-    size = classes.select(F.col("rep").alias("lead"), F.col("n").alias("lead_n"))
-    star = (members.where("rep <> lead").select("lead", "rep", "n").distinct().join(size, "lead")
-            .where(_size_fits(F.col("n"), F.col("lead_n"), percent))
-            .select(F.col("lead").alias("a"), F.col("rep").alias("b")))
-    links = materialize(confirmed(star, texts, width, percent))
-
-    joined = connected_components(links)
-    placed = members.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    open_buckets = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo < hi").select("bucket"))
-    left = materialize(placed.join(open_buckets, "bucket", "left_semi").groupBy(F.col("rep").alias("doc_id"))
-                       .agg(F.min("n").alias("n"), F.min("component").alias("component")))
-    more = confirmed(prefix_pairs(left, texts, width, percent), texts, width, percent)
-    component = connected_components(links.union(more)).withColumnRenamed("id", "rep")
-
-    by_set = classes.select("set_id", "rep").join(component, "rep", "left").select(
-        "set_id", F.coalesce("component", "rep").alias("component"))
-    found = marked.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
-    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return found.select(F.col("doc_id").alias(id_col), "n_shingles", component_id.alias("component_id"),
-                        F.col("doc_id").eqNullSafe(component_id).alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, columns unchanged; rows
-    with a null id stay."""
-    gone = near_duplicates(docs, id_col, text_col, **options).where("not kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    marked, classes, links = linked_sets(docs, id_col, text_col, width, percent, bands, lanes)
+    known = marked.where("doc_id is not null")
+    of_id = known.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.count_if(F.col("set_id").isNull()).alias("empty"))
+    odd = materialize(of_id.where("lo is not null and (lo <> hi or empty > 0)"))  # ids with several sets, or one and an empty text
+    by_id = (known.join(odd, "doc_id").where("set_id <> lo").select("lo", "set_id").distinct()
+             .join(classes.select(F.col("set_id").alias("lo"), F.col("c").alias("a")), "lo")
+             .join(classes.select("set_id", F.col("c").alias("b")), "set_id").select("a", "b"))
+
+    placed = _placed(classes, links.union(by_id))
+    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_set = salted_join(placed.select("set_id", "component"), lowest, "component").select(F.col("set_id").alias("node"), "component_id")
+    rows = marked.join(odd.where("empty > 0").select("doc_id", "lo"), "doc_id", "left").withColumn("node", F.coalesce("set_id", "lo"))
+    linked = salted_join(rows.where("node is not null and doc_id is not null").select("doc_id", "n_shingles", "node"), by_set, "node")
+    alone = rows.where("node is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = linked.select("doc_id", "n_shingles", "component_id").union(alone)
+    return found.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _placed(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the component of each set."""
+    return (classes.join(connected_components(links).withColumnRenamed("id", "c"), "c", "left")
+            .withColumn("component", F.coalesce("component", "c")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
+                         bands: int = BANDS, lanes: int = LANES) -> DataFrame:
+    """``docs`` with one document of each group of linked texts, that with the
+    smallest id, columns unchanged.
+
+    Here each text counts on its own: if an id carries several texts, each
+    group of texts keeps a row, whatever ids they share. Rows with a null id or
+    without words stay; rows that repeat an id and a set of shingles stay or go
+    together.
+    """
+    marked, classes, links = linked_sets(docs, id_col, text_col, width, percent, bands, lanes)
+    placed = _placed(classes, links)
+    winner = placed.groupBy("component").agg(F.min(F.struct("doc_id", "set_id")).alias("w")).select(F.col("w.set_id").alias("set_id"), F.col("w.doc_id").alias("keep"))
+    of_set = classes.select("set_id").join(winner, "set_id", "left")
+    known = marked.where("doc_id is not null")
+    decided = salted_join(known.where("set_id is not null").select("doc_id", "set_id"), of_set, "set_id").select(
+        "doc_id", "set_id", F.coalesce(F.col("keep") == F.col("doc_id"), F.lit(False)).alias("stays"))
+    decided = materialize(decided.union(known.where("set_id is null").select("doc_id", "set_id", F.lit(True))))
+    of_id = decided.groupBy(F.col("doc_id").alias(id_col)).agg(F.bool_or("stays").alias("some"), F.bool_and("stays").alias("every"))
+    columns = [f"`{c}`" for c in docs.columns]
+    kept = docs.join(of_id.where("not some").select(id_col), id_col, "left_anti").select(*columns)
+    split = of_id.where("some and not every").select(id_col)
+    if split.isEmpty():
+        return kept
+    # some rows of these ids stay: told apart by their sets
+    tag = spare_name(docs, "_set")
+    parted = kept.join(split, id_col, "left_semi").select(*columns, _set_column(width)(F.col(text_col).cast("string")).alias(tag))
+    stay = decided.where("stays").select(F.col("doc_id").alias(id_col), F.col("set_id").alias(tag)).distinct()
+    some = parted.where(F.col(tag).isNull()).union(parted.join(stay, [id_col, tag], "left_semi").select(*columns, tag))
+    return kept.join(split, id_col, "left_anti").select(*columns).union(some.select(*columns))
 
 
 ORACLE_SQL = """

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize, mix64
+from facets.llm.common import materialize, mix64, salted_join
 from facets.llm.components import connected_components
 
 SEED = 20250711
@@ -188,14 +188,6 @@ def _may_be_within(angle: Column, *sides: str) -> Column:
     return differ <= BITS * share + 6 * F.sqrt(BITS * share * (1 - share))
 
 
-def _salted(many: DataFrame, few: DataFrame, key: str, salts: int = 8) -> DataFrame:
-    """``many`` joined with ``few`` (one row a key), where a key may have a
-    large share of ``many``: its rows are dealt over ``salts`` tasks."""
-    left = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)))
-    right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [key, "_salt"]).drop("_salt")
-
-
 def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
     """(c, centre, angle) of each row of ``classes`` (c, v, own, s0, s1): its
     group and the angle to the group's centre, at most ``angle``."""
@@ -206,8 +198,8 @@ def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
         rows = left.select("c", "s0", "s1", F.explode("own").alias("bucket"))
         lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("s0").alias("t0"), F.col("s1").alias("t1"))).alias("first"),
                                            F.max("c").alias("last")).where("first.lead < last").select("bucket", "first.*"))
-        tries = (_salted(rows, lead, "bucket").where("c <> lead").where(_may_be_within(F.lit(angle), "s", "t")).select("c", "lead").distinct())
-        with_v = _salted(tries.join(vectors, "c"), vectors.select(F.col("c").alias("lead"), F.col("v").alias("w")), "lead")
+        tries = (salted_join(rows, lead, "bucket").where("c <> lead").where(_may_be_within(F.lit(angle), "s", "t")).select("c", "lead").distinct())
+        with_v = salted_join(tries.join(vectors, "c"), vectors.select(F.col("c").alias("lead"), F.col("v").alias("w")), "lead")
         near = materialize(_angled(with_v.select("c", "lead", "v", "w")).where(F.col("angle") <= angle).select("c", "lead", "angle"))
         taken = near.select(F.col("c").alias("lead")).distinct()  # each has an earlier class near it, so it is no centre
         own = materialize(near.join(taken, "lead", "left_anti").groupBy("c").agg(F.min(F.struct("lead", "angle")).alias("to"))
@@ -279,7 +271,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     # each class of the smaller group with the centre of the larger one
     of_small = members.select(F.col("centre").alias("small"), "c", "weight", "v")
     of_big = members.where("c = centre").select(F.col("centre").alias("big"), F.col("weight").alias("big_weight"), F.col("v").alias("w"))
-    tries = _salted(_salted(of_small, pairs.groupBy("small").agg(F.collect_set("big").alias("bigs")), "small")
+    tries = salted_join(salted_join(of_small, pairs.groupBy("small").agg(F.collect_set("big").alias("bigs")), "small")
                     .select("small", "c", "weight", "v", F.explode("bigs").alias("big")), of_big, "big")
     reached = materialize(_angled(tries.select("small", "c", "weight", "big", "big_weight", "v", "w")).join(
         groups.select(F.col("centre").alias("big"), "n", "radius"), "big").where(F.col("angle") <= limit + F.col("radius") + SLACK))
@@ -319,7 +311,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                 .join(for_steps, ["centre", "step"], "left")
                 .select("c", "component_id", (F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
     of_vector = classes.select("h", "c", F.col("v").alias("w")).join(of_class, "c").drop("c")
-    linked = _salted(rows.where("v is not null"), of_vector, "h").where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
+    linked = salted_join(rows.where("v is not null"), of_vector, "h").where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
     found = linked.union(rows.where("v is null").select("id", F.lit(0).cast("long"), "id"))
     return found.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 

@@ -122,13 +122,14 @@ def test_near_duplicates_against_all_pairs(shipped, seed, width):
 def test_prefix_pairs_lose_no_link(shipped):
     """Without any link found before, the prefix filter alone finds all of them."""
     texts = copies_with_edits(random.Random(5), 15, 12)
-    docs = shipped.createDataFrame(list(texts.items()), "doc_id long, text string")
+    docs = shipped.createDataFrame(list(texts.items()), "c long, text string")
     sets = {i: shingle_set(t, 4) for i, t in texts.items()}
-    members = shipped.createDataFrame([(i, len(s), i) for i, s in sets.items()], "doc_id long, n long, component long")
-    found = {(r.a, r.b) for r in minhash.prefix_pairs(members, docs, 4, 80).collect()}
+    members = shipped.createDataFrame([(i, len(s), i) for i, s in sets.items()], "c long, n long, component long")
+    hashed = minhash.hashed_sets(docs, 4)
+    found = {(r.a, r.b) for r in minhash.prefix_pairs(members, hashed, 80).collect()}
     links = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert links <= found
-    confirmed = {(r.a, r.b) for r in minhash.confirmed(minhash.prefix_pairs(members, docs, 4, 80), docs, 4, 80).collect()}
+    confirmed = {(r.a, r.b) for r in minhash.confirmed(minhash.prefix_pairs(members, hashed, 80), hashed, 80).collect()}
     assert confirmed == links
 
 
@@ -142,12 +143,70 @@ def test_near_duplicates_of_odd_rows(shipped):
         assert r.kept == (r.doc_id == r.component_id)
     assert by_id[None] == {None}
     assert by_id[0] == {0} and by_id[1] == {1} and by_id[2] == {2}  # no words: linked with nothing
+    assert by_id[4] == {4}  # two texts, one node
     assert by_id[13] == by_id[12] == {12}
     kept = minhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert minhash.near_duplicates(empty_documents(shipped)).count() == 0
 
 
+def ids_with_several_texts(rng, n):
+    """Rows whose ids repeat, with other texts, near copies, equal texts and empty ones."""
+    texts = list(copies_with_edits(rng, 12, 6).values()) + ["", None, "one two"]
+    return [(rng.randrange(n // 2), rng.choice(texts)) for _ in range(n)] + [(None, texts[0]), (None, "")]
+
+
+def test_rows_of_one_id_share_a_component(shipped):
+    base = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    docs = shipped.createDataFrame([(2, base), (4, base), (4, other), (9, other), (9, ""), (11, "")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()} == {(2, 2), (4, 2), (9, 2), (11, 11)}
+    assert sorted(tuple(r) for r in minhash.drop_near_duplicates(docs).collect()) == [(2, base), (4, other), (9, ""), (11, "")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_ids_against_plain_python(shipped, seed):
+    rows = ids_with_several_texts(random.Random(seed), 90)
+    docs = shipped.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, set_id string").repartition(5)
+    sets = [shingle_set(t, 5) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and rows[i][0] is not None and rows[j][0] is not None
+            and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+
+    def reach(links):
+        root = list(range(len(rows)))
+        for _ in rows:
+            for i, j in links:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    same_id = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] == rows[j][0] and rows[i][0] is not None]
+    whole = reach(near + same_id)
+    lowest = {}
+    for (i, _), g in zip(rows, whole, strict=True):
+        lowest[g] = i if i is None else min(i, lowest.get(g, i))
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect())
+    assert got == Counter((i, len(s), lowest[g]) for (i, _), s, g in zip(rows, sets, whole, strict=True))
+
+    # one row a group of linked texts stays, or several if they repeat an id and a set
+    group = reach(near)
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert not Counter(kept) - Counter(rows)
+    free = [r for r, s in zip(rows, sets, strict=True) if r[0] is None or not s]
+    assert Counter(r for r in kept if r[0] is None or not shingle_set(r[1], 5)) == Counter(free)
+    best = defaultdict(set)
+    for k, ((i, t), s) in enumerate(zip(rows, sets, strict=True)):
+        if i is not None and s:
+            best[group[k]].add((i, frozenset(s)))
+    stayed = Counter()
+    for k, ((i, t), s) in enumerate(zip(rows, sets, strict=True)):
+        if i is not None and s and (i, t) in kept:
+            stayed[group[k]] += 1
+            assert i == min(x for x, _ in best[group[k]])
+    assert set(stayed) == set(best)  # no group of texts is lost
+
+
 def test_components_of_a_long_path(shipped):
     links = [(i, i + 1) for i in range(60)] + [(200, 100), (100, 150), (7, 7), (None, 3), (300, 300)]
     out = {r.id: r.component for r in connected_components(shipped.createDataFrame(links, "a long, b long")).collect()}
