@@ -1,6 +1,7 @@
 """Driver contract: entry smoke, and every query against its DuckDB oracle."""
 
 import os
+import subprocess
 import sys
 
 import pytest
@@ -25,6 +26,24 @@ def test_every_query_has_oracle():
     assert len(queries()) >= 30
 
 
+@pytest.mark.parametrize("missing", ["ahocorasick", "facets.llm", "tokenizers_that_do_not_exist"])
+def test_entry_without_an_optional_library(missing):
+    """A fresh interpreter in which one import fails still offers every other query."""
+    code = f"""
+import sys
+sys.modules[{missing!r}] = None
+import __spark_entry__ as e
+names = set(e.queries())
+from facets.plans.supplied import QUERIES
+assert set(QUERIES) <= names and set(e.oracle_sql()) <= names
+print(len(names) == len(QUERIES))
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    llm_here = os.path.isdir(os.path.join(ROOT, "facets", "llm"))
+    assert out.stdout.strip() == str(missing != "tokenizers_that_do_not_exist" or not llm_here)
+
+
 @pytest.mark.skipif(not os.path.exists(SF01), reason="no sf0.01 data")
 def test_oracle_agreement(spark):
     from oracle_check import compare
