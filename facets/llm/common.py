@@ -103,12 +103,13 @@ def spare_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, salts: int = 8) -> DataFrame:
-    """``many`` joined with ``few`` (one row a key), where one key may have a
-    large share of ``many``: the rows of a key are dealt over ``salts`` tasks."""
+def salted_join(many: DataFrame, few: DataFrame, key: str | list[str], salts: int = 8, how: str = "inner") -> DataFrame:
+    """``many`` joined with ``few`` (one row a key; ``how`` is inner or left),
+    where one key may have a large share of ``many``: the rows of a key are
+    dealt over ``salts`` tasks."""
     left = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)))
     right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [*([key] if isinstance(key, str) else key), "_salt"], how).drop("_salt")
 
 
 def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

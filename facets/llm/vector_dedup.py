@@ -217,7 +217,7 @@ def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
 def _candidates(classes: DataFrame, members: DataFrame, groups: DataFrame, limit: float) -> DataFrame:
     """Distinct pairs (small, big) of centres whose groups meet in a bucket
     and may hold a link; big has at least as many classes."""
-    placed = classes.select("c", "own", "looks").join(members.select("c", "centre"), "c").join(groups, "centre")
+    placed = salted_join(classes.select("c", "own", "looks").join(members.select("c", "centre"), "c"), groups, "centre")
     side = ["centre", "n", "radius", "s0", "s1"]
 
     def entries(column: Column, prefix: str) -> DataFrame:
@@ -280,10 +280,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     at_steps = members.where("step >= 0").groupBy("centre", "step").agg(F.sum("weight").alias("step_weight"))
     counted = reached.where("sure >= 0 and n > 1").select("small", "c", "weight", "big", F.explode(F.sequence(F.lit(0), "sure")).alias("step")).join(
         at_steps.select(F.col("centre").alias("big"), "step", "step_weight"), ["big", "step"])
-    open_ = reached.where("n > 1").select("small", "c", "weight", "big", "sure", "angle").join(
-        members.where("step >= 0").select(F.col("centre").alias("big"), F.col("c").alias("other"), F.col("weight").alias("other_weight"),
-                                          "step", F.col("angle").alias("other_angle")), "big")
-    open_ = open_.where((F.col("step") > F.col("sure")) & (F.col("angle") - F.col("other_angle") <= limit + SLACK))
+    # neither surely linked nor surely apart: these steps of the group are looked through
+    first = F.greatest(F.col("sure") + 1, F.floor((F.col("angle") - limit - SLACK) / width).cast("int"), F.lit(0))
+    last = F.floor(F.col("radius") / width).cast("int")
+    open_ = (reached.where("n > 1").withColumn("first", first).withColumn("last", last).where("first <= last")
+             .select("small", "c", "weight", "big", F.explode(F.sequence("first", "last")).alias("step"))
+             .join(members.where("step >= 0").select(F.col("centre").alias("big"), "step", F.col("c").alias("other"), F.col("weight").alias("other_weight")),
+                   ["big", "step"]))
     own_v = members.select("c", "v")
     checked = open_.select("small", "big", "c", "weight", "other", "other_weight").join(own_v, "c").join(
         own_v.select(F.col("c").alias("other"), F.col("v").alias("w")), "other")
@@ -304,12 +307,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                .join(classes.select("h", "v", "c"), ["h", "v"]).join(members.select("c", "centre"), "c"))
     by_id = several.select("centre", "id").join(several.groupBy("id").agg(F.min("centre").alias("low")), "id").select("centre", "low")
     joined = connected_components(met.union(by_id), "small", "big")
-    whole = members.select("c", "centre", "step").join(joined.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn(
-        "component", F.coalesce("component", "centre"))
-    lowest = whole.join(classes.select("c", "first_id"), "c").groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = (whole.join(lowest, "component").join(groups.select("centre", "group_weight"), "centre").join(gains, "c", "left")
-                .join(for_steps, ["centre", "step"], "left")
-                .select("c", "component_id", (F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
+    first_ids = members.select("c", "centre").join(classes.select("c", "first_id"), "c").groupBy("centre").agg(F.min("first_id").alias("first_id"))
+    whole = (groups.select("centre", "group_weight").join(first_ids, "centre")
+             .join(joined.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn("component", F.coalesce("component", "centre")))
+    lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    of_group = salted_join(whole.select("centre", "group_weight", "component"), lowest, "component").drop("component")
+    of_class = (salted_join(salted_join(members.select("c", "centre", "step"), of_group, "centre"), for_steps, ["centre", "step"], how="left")
+                .join(gains, "c", "left").select("c", "component_id", (F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
     of_vector = classes.select("h", "c", F.col("v").alias("w")).join(of_class, "c").drop("c")
     linked = salted_join(rows.where("v is not null"), of_vector, "h").where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
     found = linked.union(rows.where("v is null").select("id", F.lit(0).cast("long"), "id"))
