@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize, salted_join
+from facets.llm.common import hot_join, hot_keys, materialize
 
 
 def _mins(pairs: DataFrame) -> DataFrame:
     """Smallest partner of each u, combined on the map side, so that no task
     holds all pairs of a hub."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m"))
+    return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k"))
+
+
+def _with_least(pairs: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``pairs`` with the least partner of u; a hub's pairs are dealt over tasks."""
+    return hot_join(pairs, least.select("u", "m"), "u", hot_keys(least, "u", "k", total))
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,20 +33,20 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
                         .where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct())
     ids = edges.select(F.col("u").alias("id")).union(edges.select(F.col("v").alias("id"))).distinct()
     edges = edges.where("u <> v")
-    mark = None
+    mark, total = None, edges.count()
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = _mins(both).select("u", F.least("u", "m").alias("m"))
-        large = (salted_join(both, m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        m = _mins(both).withColumn("m", F.least("u", "m"))
+        large = (_with_least(both, m, 2 * total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         # in `large` every v is smaller than its u
         least = _mins(large)
-        small = (salted_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (_with_least(large, least, total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         edges = materialize(small)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
-        mark = now
+        mark, total = now, now[0]
     return (ids.join(edges.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left")
             .select("id", F.coalesce("component", "id").alias("component")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize, mix64, salted_join, shingles, spare_name, text_chunks
+from facets.llm.common import hot_join, hot_keys, materialize, mix64, shingles, spare_name, text_chunks
 from facets.llm.components import connected_components
 
 #: 32 bands of 5 lanes, from 80 evaluations of a hash: a link at a similarity
@@ -122,8 +122,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def _hashed_sets(width: int, matched: bool):
-    """(c, tokens) of (c, text), or of (c, text, set_id) where the text's set
-    has that id; a set is its shingle hashes, ascending as unsigned numbers."""
+    """(c, tokens) of (c, text), or (c, tokens, times) of (c, text, set_id,
+    times) where the text's set has that id; a set is its shingle hashes,
+    ascending as unsigned numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,8 +136,10 @@ def _hashed_sets(width: int, matched: bool):
                     rows = np.array([r for r in rows if _set_id(h[bounds[r]:bounds[r + 1]]) == wanted[first + r]], np.int64)
                 taken = np.concatenate([h[bounds[r]:bounds[r + 1]] for r in rows] or [h[:0]]).view(np.int64)
                 list_offs = np.concatenate(([0], np.cumsum(np.diff(bounds)[rows]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + rows)), pa.ListArray.from_arrays(list_offs, pa.array(taken))],
-                                                 names=["c", "tokens"])
+                at = pa.array(first + rows)
+                times = [batch.column(3).take(at)] if matched else []
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.ListArray.from_arrays(list_offs, pa.array(taken)), *times],
+                                                 names=["c", "tokens", "times"][:2 + len(times)])
 
     return run
 
@@ -177,8 +180,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct (a, b) whose sets in ``sets`` (c, tokens) reach
     ``percent``; many pairs may have one a."""
     kind = sets.schema["c"].dataType.simpleString()
-    rows = salted_join(pairs.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("b_tokens")), "b"),
-                       sets.select(F.col("c").alias("a"), F.col("tokens").alias("a_tokens")), "a")
+    pairs = materialize(pairs)
+    hot = hot_keys(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k")), "a", "k", pairs.count())
+    rows = hot_join(pairs.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("b_tokens")), "b"),
+                    sets.select(F.col("c").alias("a"), F.col("tokens").alias("a_tokens")), "a", hot)
     return rows.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_confirm(percent), f"a {kind}, b {kind}")
 
 
@@ -201,7 +206,8 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     """
     tokens = sets.join(members.select("c"), "c", "left_semi").select("c", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    lists = (salted_join(tokens, shared, "token").groupBy("c")
+    total = members.agg(F.sum("n")).first()[0] or 0
+    lists = (hot_join(tokens, shared, "token", hot_keys(shared, "token", "df", total)).groupBy("c")
              .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common")))
     # shingles of one document alone come first in the order: n - size(common) of them
     early = (lists.join(members, "c")
@@ -223,22 +229,26 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def linked_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, bands: int,
                 lanes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, n_shingles, set_id) of each row; (c, set_id, doc_id) of each
-    distinct set, with the smallest id that has it; links (a, b) of sets."""
+    """(doc_id, n_shingles, set_id) of each row; (c, set_id, doc_id, k) of each
+    distinct set, with the smallest of its ids and the number of its rows; links
+    (a, b) of sets."""
     marked = materialize(sketches(docs, id_col, text_col, width, bands, lanes))
     usable = marked.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
+    classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"), F.first("n_shingles").alias("n"),
                                                        F.first("buckets").alias("buckets")).withColumn("c", F.monotonically_increasing_id()))
     rows = classes.select("c", "n", F.explode("buckets").alias("bucket"))
-    lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"))
-            .where("first.lead < last").select("bucket", "first.*"))
-    members = materialize(salted_join(rows, lead, "bucket"))
-
-    # one row of each set that shares a bucket; an id may have several texts, so the set is checked
-    crowd = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "set_id", "doc_id")
+    lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"),
+                                       F.count(F.lit(1)).alias("size")).where("first.lead < last").select("bucket", "first.*", "size"))
+    members = materialize(hot_join(rows, lead.drop("size"), "bucket", hot_keys(lead, "bucket", "size", bands * classes.count())))
+
+    # one row of each set that shares a bucket; an id may have several rows, so the set is checked
+    again = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    crowd = (classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "set_id", "doc_id")
+             .join(again, "doc_id", "left"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = materialize(texts.join(crowd, "doc_id").select("c", "text", "set_id")
-                       .mapInArrow(_hashed_sets(width, True), "c long, tokens array<long>").dropDuplicates(["c"]))
+    found = materialize(texts.join(crowd, "doc_id").select("c", "text", "set_id", "times")
+                        .mapInArrow(_hashed_sets(width, True), "c long, tokens array<long>, times long"))
+    sets = found.where("times is null").select("c", "tokens").union(found.where("times is not null").select("c", "tokens").dropDuplicates(["c"]))
     star = (members.where("c <> lead").where(_size_fits(F.col("n"), F.col("lead_n"), percent))
             .select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct())
     links = materialize(confirmed(star, sets, percent))
@@ -251,7 +261,7 @@ def linked_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     left = materialize(placed.join(open_buckets, "bucket", "left_semi").groupBy("c")
                        .agg(F.min("n").alias("n"), F.min("component").alias("component")))
     more = confirmed(prefix_pairs(left, sets, percent), sets, percent)
-    return marked.select("doc_id", "n_shingles", "set_id"), classes.select("c", "set_id", "doc_id"), materialize(links.union(more))
+    return marked.select("doc_id", "n_shingles", "set_id"), classes.select("c", "set_id", "doc_id", "k"), materialize(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -278,10 +288,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .join(classes.select("set_id", F.col("c").alias("b")), "set_id").select("a", "b"))
 
     placed = _placed(classes, links.union(by_id))
-    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_set = salted_join(placed.select("set_id", "component"), lowest, "component").select(F.col("set_id").alias("node"), "component_id")
+    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    by_set = hot_join(placed.select("set_id", "component"), lowest.drop("size"), "component",
+                      hot_keys(lowest, "component", "size", classes.count())).select(F.col("set_id").alias("node"), "component_id")
+    common = hot_keys(classes.withColumnRenamed("set_id", "node"), "node", "k", marked.count())
     rows = marked.join(odd.where("empty > 0").select("doc_id", "lo"), "doc_id", "left").withColumn("node", F.coalesce("set_id", "lo"))
-    linked = salted_join(rows.where("node is not null and doc_id is not null").select("doc_id", "n_shingles", "node"), by_set, "node")
+    linked = hot_join(rows.where("node is not null and doc_id is not null").select("doc_id", "n_shingles", "node"), by_set, "node", common)
     alone = rows.where("node is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     found = linked.select("doc_id", "n_shingles", "component_id").union(alone)
     return found.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -308,7 +320,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     winner = placed.groupBy("component").agg(F.min(F.struct("doc_id", "set_id")).alias("w")).select(F.col("w.set_id").alias("set_id"), F.col("w.doc_id").alias("keep"))
     of_set = classes.select("set_id").join(winner, "set_id", "left")
     known = marked.where("doc_id is not null")
-    decided = salted_join(known.where("set_id is not null").select("doc_id", "set_id"), of_set, "set_id").select(
+    decided = hot_join(known.where("set_id is not null").select("doc_id", "set_id"), of_set, "set_id",
+                       hot_keys(classes, "set_id", "k", marked.count())).select(
         "doc_id", "set_id", F.coalesce(F.col("keep") == F.col("doc_id"), F.lit(False)).alias("stays"))
     decided = materialize(decided.union(known.where("set_id is null").select("doc_id", "set_id", F.lit(True))))
     of_id = decided.groupBy(F.col("doc_id").alias(id_col)).agg(F.bool_or("stays").alias("some"), F.bool_and("stays").alias("every"))

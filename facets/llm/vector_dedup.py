@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facets.llm.common import materialize, mix64, salted_join
+from facets.llm.common import hot_join, hot_keys, materialize, mix64
 from facets.llm.components import connected_components
 
 SEED = 20250711
@@ -188,18 +188,24 @@ def _may_be_within(angle: Column, *sides: str) -> Column:
     return differ <= BITS * share + 6 * F.sqrt(BITS * share * (1 - share))
 
 
+def _counted(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("k"))
+
+
 def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
     """(c, centre, angle) of each row of ``classes`` (c, v, own, s0, s1): its
     group and the angle to the group's centre, at most ``angle``."""
     left = classes.select("c", "own", "s0", "s1")
     vectors = classes.select("c", "v")
-    done = None
+    done, total = None, classes.select(F.sum(F.size("own"))).first()[0] or 0
     for _ in range(rounds):
         rows = left.select("c", "s0", "s1", F.explode("own").alias("bucket"))
         lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("s0").alias("t0"), F.col("s1").alias("t1"))).alias("first"),
-                                           F.max("c").alias("last")).where("first.lead < last").select("bucket", "first.*"))
-        tries = (salted_join(rows, lead, "bucket").where("c <> lead").where(_may_be_within(F.lit(angle), "s", "t")).select("c", "lead").distinct())
-        with_v = salted_join(tries.join(vectors, "c"), vectors.select(F.col("c").alias("lead"), F.col("v").alias("w")), "lead")
+                                           F.max("c").alias("last"), F.count(F.lit(1)).alias("k")).where("first.lead < last").select("bucket", "first.*", "k"))
+        tries = materialize(hot_join(rows, lead.drop("k"), "bucket", hot_keys(lead, "bucket", "k", total)).where("c <> lead")
+                            .where(_may_be_within(F.lit(angle), "s", "t")).select("c", "lead").distinct())
+        with_v = hot_join(tries.join(vectors, "c"), vectors.select(F.col("c").alias("lead"), F.col("v").alias("w")), "lead",
+                          hot_keys(_counted(tries, "lead"), "lead", "k", tries.count()))
         near = materialize(_angled(with_v.select("c", "lead", "v", "w")).where(F.col("angle") <= angle).select("c", "lead", "angle"))
         taken = near.select(F.col("c").alias("lead")).distinct()  # each has an earlier class near it, so it is no centre
         own = materialize(near.join(taken, "lead", "left_anti").groupBy("c").agg(F.min(F.struct("lead", "angle")).alias("to"))
@@ -214,10 +220,10 @@ def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
     return materialize(alone if done is None else done.union(alone))
 
 
-def _candidates(classes: DataFrame, members: DataFrame, groups: DataFrame, limit: float) -> DataFrame:
+def _candidates(classes: DataFrame, members: DataFrame, groups: DataFrame, hot: DataFrame, limit: float) -> DataFrame:
     """Distinct pairs (small, big) of centres whose groups meet in a bucket
     and may hold a link; big has at least as many classes."""
-    placed = salted_join(classes.select("c", "own", "looks").join(members.select("c", "centre"), "c"), groups, "centre")
+    placed = hot_join(classes.select("c", "own", "looks").join(members.select("c", "centre"), "c"), groups, "centre", hot)
     side = ["centre", "n", "radius", "s0", "s1"]
 
     def entries(column: Column, prefix: str) -> DataFrame:
@@ -265,19 +271,22 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     step = F.when(F.col("c") == F.col("centre"), -1).otherwise(F.floor(F.col("angle") / width).cast("int"))
     members = materialize(placed.withColumn("step", step).join(classes.select("c", "v", "weight"), "c"))
     groups = members.groupBy("centre").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius"), F.sum("weight").alias("group_weight"))
+    hot = hot_keys(groups, "centre", "n", n)
     sketched = groups.select("centre", "n", "radius").join(hashed.select(F.col("c").alias("centre"), "s0", "s1"), "centre")
-    pairs = _candidates(hashed, members, sketched, limit)
+    pairs = materialize(_candidates(hashed, members, sketched, hot, limit))
 
     # each class of the smaller group with the centre of the larger one
     of_small = members.select(F.col("centre").alias("small"), "c", "weight", "v")
     of_big = members.where("c = centre").select(F.col("centre").alias("big"), F.col("weight").alias("big_weight"), F.col("v").alias("w"))
-    tries = salted_join(salted_join(of_small, pairs.groupBy("small").agg(F.collect_set("big").alias("bigs")), "small")
-                    .select("small", "c", "weight", "v", F.explode("bigs").alias("big")), of_big, "big")
+    sent = (pairs.join(groups.select(F.col("centre").alias("small"), "n"), "small").groupBy("big").agg(F.sum("n").alias("k")))
+    bigs = pairs.groupBy("small").agg(F.collect_set("big").alias("bigs"))
+    met_small = hot_join(of_small, bigs, "small", hot.withColumnRenamed("centre", "small")).select("small", "c", "weight", "v", F.explode("bigs").alias("big"))
+    tries = hot_join(met_small, of_big, "big", hot_keys(sent, "big", "k", sent.agg(F.sum("k")).first()[0] or 0))
     reached = materialize(_angled(tries.select("small", "c", "weight", "big", "big_weight", "v", "w")).join(
         groups.select(F.col("centre").alias("big"), "n", "radius"), "big").where(F.col("angle") <= limit + F.col("radius") + SLACK))
     sure = F.floor((limit - SLACK - F.col("angle")) / width).cast("int") - 1  # members up to this step are linked
     reached = reached.select("*", F.least(sure, F.lit(STEPS)).alias("sure"), (F.col("cosine") >= least).alias("hit"))
-    at_steps = members.where("step >= 0").groupBy("centre", "step").agg(F.sum("weight").alias("step_weight"))
+    at_steps = members.where("step >= 0").groupBy("centre", "step").agg(F.sum("weight").alias("step_weight"), F.count(F.lit(1)).alias("k"))
     counted = reached.where("sure >= 0 and n > 1").select("small", "c", "weight", "big", F.explode(F.sequence(F.lit(0), "sure")).alias("step")).join(
         at_steps.select(F.col("centre").alias("big"), "step", "step_weight"), ["big", "step"])
     # neither surely linked nor surely apart: these steps of the group are looked through
@@ -310,12 +319,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     first_ids = members.select("c", "centre").join(classes.select("c", "first_id"), "c").groupBy("centre").agg(F.min("first_id").alias("first_id"))
     whole = (groups.select("centre", "group_weight").join(first_ids, "centre")
              .join(joined.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn("component", F.coalesce("component", "centre")))
-    lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_group = salted_join(whole.select("centre", "group_weight", "component"), lowest, "component").drop("component")
-    of_class = (salted_join(salted_join(members.select("c", "centre", "step"), of_group, "centre"), for_steps, ["centre", "step"], how="left")
+    lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("k"))
+    of_group = hot_join(whole.select("centre", "group_weight", "component"), lowest.drop("k"), "component",
+                        hot_keys(lowest, "component", "k", n)).drop("component")
+    of_class = (hot_join(hot_join(members.select("c", "centre", "step"), of_group, "centre", hot), for_steps, ["centre", "step"],
+                         hot_keys(at_steps, ["centre", "step"], "k", n), how="left")
                 .join(gains, "c", "left").select("c", "component_id", (F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
     of_vector = classes.select("h", "c", F.col("v").alias("w")).join(of_class, "c").drop("c")
-    linked = salted_join(rows.where("v is not null"), of_vector, "h").where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
+    copies = hot_keys(classes.groupBy("h").agg(F.sum("weight").alias("k")), "h", "k", classes.agg(F.sum("weight")).first()[0] or 0)
+    linked = hot_join(rows.where("v is not null"), of_vector, "h", copies).where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
     found = linked.union(rows.where("v is null").select("id", F.lit(0).cast("long"), "id"))
     return found.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
