@@ -107,22 +107,21 @@ def spare_name(df: DataFrame, name: str) -> str:
 HOT, SALTS = 4096, 32
 
 
-def hot_keys(counted: DataFrame, key: str | list[str], count: str, total: int) -> DataFrame:
+def hot_keys(counted: DataFrame, key: str, count: str, total: int) -> list:
     """The hot keys of ``counted``, a table with the number of rows of each
-    key; keys of up to a hundred rows are not."""
-    return counted.where((F.col(count) > 100) & (F.col(count) * HOT > total)).select(key)
-
-
-def hot_join(many: DataFrame, few: DataFrame, key: str | list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
-    """``many`` joined with ``few`` (one row a key; ``how`` is inner or left).
-    Rows of a key in ``hot`` are dealt over several tasks, each of which gets
-    the key's row of ``few``; ``hot`` has at most HOT rows and is broadcast."""
-    mark = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    left = many.join(mark, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int")).otherwise(0))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = few.join(mark, key, "left").withColumn("_salt", F.explode(salts))
-    keys = [key] if isinstance(key, str) else key
-    return left.drop("_hot").join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    key; keys of up to a hundred rows are not. At most HOT values."""
+    return [r[0] for r in counted.where((F.col(count) > 100) & (F.col(count) * HOT > total)).select(key).collect()]
+
+
+def hot_join(many: DataFrame, few: DataFrame, key: str, hot: list) -> DataFrame:
+    """``many`` joined with ``few`` (one row a key). Rows of the keys in ``hot``
+    are dealt over several tasks, each of which gets the key's row of ``few``."""
+    if not hot:
+        return many.join(few, key)
+    is_hot = F.col(key).isin(hot)
+    left = many.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int")).otherwise(0))
+    right = few.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [key, "_salt"]).drop("_salt")
 
 
 def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -206,8 +206,7 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     """
     tokens = sets.join(members.select("c"), "c", "left_semi").select("c", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    total = members.agg(F.sum("n")).first()[0] or 0
-    lists = (hot_join(tokens, shared, "token", hot_keys(shared, "token", "df", total)).groupBy("c")
+    lists = (tokens.join(shared, "token").groupBy("c")
              .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common")))
     # shingles of one document alone come first in the order: n - size(common) of them
     early = (lists.join(members, "c")
@@ -237,8 +236,9 @@ def linked_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"), F.first("n_shingles").alias("n"),
                                                        F.first("buckets").alias("buckets")).withColumn("c", F.monotonically_increasing_id()))
     rows = classes.select("c", "n", F.explode("buckets").alias("bucket"))
-    lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"),
-                                       F.count(F.lit(1)).alias("size")).where("first.lead < last").select("bucket", "first.*", "size"))
+    lead = materialize(rows.groupBy("bucket").agg(
+        F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"),
+        F.count(F.lit(1)).alias("size")).where("first.lead < last").select("bucket", "first.*", "size"))
     members = materialize(hot_join(rows, lead.drop("size"), "bucket", hot_keys(lead, "bucket", "size", bands * classes.count())))
 
     # one row of each set that shares a bucket; an id may have several rows, so the set is checked
@@ -288,10 +288,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .join(classes.select("set_id", F.col("c").alias("b")), "set_id").select("a", "b"))
 
     placed = _placed(classes, links.union(by_id))
-    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    by_set = hot_join(placed.select("set_id", "component"), lowest.drop("size"), "component",
-                      hot_keys(lowest, "component", "size", classes.count())).select(F.col("set_id").alias("node"), "component_id")
-    common = hot_keys(classes.withColumnRenamed("set_id", "node"), "node", "k", marked.count())
+    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_set = placed.select("set_id", "component").join(lowest, "component").select(F.col("set_id").alias("node"), "component_id")
+    common = hot_keys(classes, "set_id", "k", marked.count())
     rows = marked.join(odd.where("empty > 0").select("doc_id", "lo"), "doc_id", "left").withColumn("node", F.coalesce("set_id", "lo"))
     linked = hot_join(rows.where("node is not null and doc_id is not null").select("doc_id", "n_shingles", "node"), by_set, "node", common)
     alone = rows.where("node is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

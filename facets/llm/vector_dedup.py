@@ -202,6 +202,7 @@ def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
         rows = left.select("c", "s0", "s1", F.explode("own").alias("bucket"))
         lead = (rows.groupBy("bucket").agg(F.min(F.struct(F.col("c").alias("lead"), F.col("s0").alias("t0"), F.col("s1").alias("t1"))).alias("first"),
                                            F.max("c").alias("last"), F.count(F.lit(1)).alias("k")).where("first.lead < last").select("bucket", "first.*", "k"))
+        lead = materialize(lead)
         tries = materialize(hot_join(rows, lead.drop("k"), "bucket", hot_keys(lead, "bucket", "k", total)).where("c <> lead")
                             .where(_may_be_within(F.lit(angle), "s", "t")).select("c", "lead").distinct())
         with_v = hot_join(tries.join(vectors, "c"), vectors.select(F.col("c").alias("lead"), F.col("v").alias("w")), "lead",
@@ -220,7 +221,7 @@ def grouped(classes: DataFrame, angle: float, rounds: int) -> DataFrame:
     return materialize(alone if done is None else done.union(alone))
 
 
-def _candidates(classes: DataFrame, members: DataFrame, groups: DataFrame, hot: DataFrame, limit: float) -> DataFrame:
+def _candidates(classes: DataFrame, members: DataFrame, groups: DataFrame, hot: list, limit: float) -> DataFrame:
     """Distinct pairs (small, big) of centres whose groups meet in a bucket
     and may hold a link; big has at least as many classes."""
     placed = hot_join(classes.select("c", "own", "looks").join(members.select("c", "centre"), "c"), groups, "centre", hot)
@@ -280,13 +281,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     of_big = members.where("c = centre").select(F.col("centre").alias("big"), F.col("weight").alias("big_weight"), F.col("v").alias("w"))
     sent = (pairs.join(groups.select(F.col("centre").alias("small"), "n"), "small").groupBy("big").agg(F.sum("n").alias("k")))
     bigs = pairs.groupBy("small").agg(F.collect_set("big").alias("bigs"))
-    met_small = hot_join(of_small, bigs, "small", hot.withColumnRenamed("centre", "small")).select("small", "c", "weight", "v", F.explode("bigs").alias("big"))
+    met_small = hot_join(of_small, bigs, "small", hot).select("small", "c", "weight", "v", F.explode("bigs").alias("big"))
     tries = hot_join(met_small, of_big, "big", hot_keys(sent, "big", "k", sent.agg(F.sum("k")).first()[0] or 0))
     reached = materialize(_angled(tries.select("small", "c", "weight", "big", "big_weight", "v", "w")).join(
         groups.select(F.col("centre").alias("big"), "n", "radius"), "big").where(F.col("angle") <= limit + F.col("radius") + SLACK))
     sure = F.floor((limit - SLACK - F.col("angle")) / width).cast("int") - 1  # members up to this step are linked
     reached = reached.select("*", F.least(sure, F.lit(STEPS)).alias("sure"), (F.col("cosine") >= least).alias("hit"))
-    at_steps = members.where("step >= 0").groupBy("centre", "step").agg(F.sum("weight").alias("step_weight"), F.count(F.lit(1)).alias("k"))
+    at_steps = members.where("step >= 0").groupBy("centre", "step").agg(F.sum("weight").alias("step_weight"))
     counted = reached.where("sure >= 0 and n > 1").select("small", "c", "weight", "big", F.explode(F.sequence(F.lit(0), "sure")).alias("step")).join(
         at_steps.select(F.col("centre").alias("big"), "step", "step_weight"), ["big", "step"])
     # neither surely linked nor surely apart: these steps of the group are looked through
@@ -319,12 +320,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     first_ids = members.select("c", "centre").join(classes.select("c", "first_id"), "c").groupBy("centre").agg(F.min("first_id").alias("first_id"))
     whole = (groups.select("centre", "group_weight").join(first_ids, "centre")
              .join(joined.select(F.col("id").alias("centre"), "component"), "centre", "left").withColumn("component", F.coalesce("component", "centre")))
-    lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("k"))
-    of_group = hot_join(whole.select("centre", "group_weight", "component"), lowest.drop("k"), "component",
-                        hot_keys(lowest, "component", "k", n)).drop("component")
-    of_class = (hot_join(hot_join(members.select("c", "centre", "step"), of_group, "centre", hot), for_steps, ["centre", "step"],
-                         hot_keys(at_steps, ["centre", "step"], "k", n), how="left")
-                .join(gains, "c", "left").select("c", "component_id", (F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
+    lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    of_group = whole.select("centre", "group_weight", "component").join(lowest, "component").drop("component")
+    of_class = (hot_join(members.select("c", "centre", "step"), of_group, "centre", hot).join(for_steps, ["centre", "step"], "left")
+                .join(gains, "c", "left").select("c", "component_id", (
+                    F.col("group_weight") - 1 + F.coalesce("gain", F.lit(0)) + F.coalesce("step_gain", F.lit(0))).alias("n_links")))
     of_vector = classes.select("h", "c", F.col("v").alias("w")).join(of_class, "c").drop("c")
     copies = hot_keys(classes.groupBy("h").agg(F.sum("weight").alias("k")), "h", "k", classes.agg(F.sum("weight")).first()[0] or 0)
     linked = hot_join(rows.where("v is not null"), of_vector, "h", copies).where(F.col("v") == F.col("w")).select("id", "n_links", "component_id")
