@@ -5,13 +5,20 @@ into one chained ``CASE WHEN`` (a single Catalyst expression, codegen'd, no
 UDF); rows matching no interval get NULL, like a SQL CASE without ELSE.
 ``Bin.sql`` renders the same spec as SQL text so that views and the DuckDB
 oracle read from one definition.
+
+For hundreds of bins, or bins that come from a table, ``bin_lookup`` takes the
+place of the CASE chain: the bins' ends cut the number line into points and
+gaps, each with the label of its bin worked out beforehand, and an expression
+finds the value's place among the sorted ends by halving.
 """
 
 from __future__ import annotations
 
+from bisect import insort
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -85,3 +92,82 @@ def bin_case_sql(name: str, spec: tuple[Bin, ...]) -> str:
     """The same spec as a SQL ``CASE`` expression (no ELSE)."""
     arms = " ".join(f"WHEN {b.sql(name)} THEN '{b.label}'" for b in spec)
     return f"CASE {arms} END"
+
+
+#: Bins that a lookup may hold; they are part of the plan.
+MOST_BINS = 100_000
+
+
+def bins_of_table(bins: DataFrame, label: str, low: str, high: str, order: str, *, low_closed: bool = False,
+                  high_closed: bool = True) -> tuple[Bin, ...]:
+    """The bins that the rows of a table describe, in the order of a column;
+    a row without a label or an end is no bin. More than ``MOST_BINS`` rows are an error."""
+    rows = (bins.where(F.col(label).isNotNull() & F.col(low).isNotNull() & F.col(high).isNotNull()).orderBy(F.col(order).asc_nulls_first(), label)
+            .select(F.col(label).cast("string"), F.col(low).cast("double"), F.col(high).cast("double")).limit(MOST_BINS + 1).collect())
+    if len(rows) > MOST_BINS:
+        raise ValueError(f"more than {MOST_BINS} bins")
+    return tuple(Bin(r[0], r[1], r[2], low_closed, high_closed) for r in rows)
+
+
+def _regions(spec: Sequence[Bin]) -> tuple[list[float], list[list[int]]]:
+    """The sorted ends, and for each gap before, at and after them (gap, end,
+    gap, ..., gap) the bins that hold it, in their order."""
+    ends = sorted({e for b in spec for e in (float(b.low), float(b.high))})
+    at = {e: 2 * i + 1 for i, e in enumerate(ends)}
+    starts: dict[int, list[int]] = {}
+    stops: dict[int, list[int]] = {}
+    for n, b in enumerate(spec):
+        first, last = at[float(b.low)] + (not b.low_closed), at[float(b.high)] - (not b.high_closed)
+        if first <= last:
+            starts.setdefault(first, []).append(n)
+            stops.setdefault(last + 1, []).append(n)
+    held, own = [], []
+    for region in range(2 * len(ends) + 1):
+        for n in stops.get(region, ()):
+            own.remove(n)
+        for n in starts.get(region, ()):
+            insort(own, n)
+        held.append(list(own))
+    return ends, held
+
+
+def _region(c: Column, ends: list[float]) -> Column:
+    """The value's region: twice the number of ends below it, plus one if it is an end."""
+    sorted_ends = F.split(F.lit(",".join(map(repr, ends))), ",").cast("array<double>")  # folds to one constant
+    steps = [1 << s for s in range(len(ends).bit_length() - 1, -1, -1)]
+
+    def halve(below: Column, step: Column) -> Column:
+        return F.when(F.get(sorted_ends, below + step - 1) < c, below + step).otherwise(below)
+
+    below = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
+    return F.transform(F.array(below), lambda b: 2 * b + F.coalesce(F.get(sorted_ends, b) == c, F.lit(False)).cast("int"))[0]
+
+
+def bin_lookup(c: Column | str, spec: Sequence[Bin]) -> Column:
+    """``bin_column`` for many bins: label of the first bin that holds ``c``."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    if not spec:
+        return F.lit(None).cast("string")
+    ends, held = _regions(spec)
+    of_region = F.split(F.lit(",".join(str(own[0]) if own else "-1" for own in held)), ",").cast("array<int>")
+    n = F.get(of_region, _region(c, ends))
+    return F.when(c.isNotNull() & ~F.isnan(c) & (n >= 0), F.get(_labels(spec), n))
+
+
+def bins_lookup(c: Column | str, spec: Sequence[Bin]) -> Column:
+    """The labels of all bins that hold ``c``, in their order (bins may
+    overlap); an empty array if none does, NULL for NULL."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    if not spec:
+        return F.when(c.isNotNull(), F.array().cast("array<string>"))
+    ends, held = _regions(spec)
+    of_region = F.split(F.lit(";".join(",".join(map(str, own)) for own in held)), ";")
+    own = F.get(of_region, _region(c, ends))
+    numbers = F.filter(F.split(own, ","), lambda n: n != "")
+    return F.when(F.isnan(c), F.array().cast("array<string>")).when(
+        c.isNotNull(), F.transform(numbers, lambda n: F.get(_labels(spec), n.cast("int"))))
+
+
+def _labels(spec: Sequence[Bin]) -> Column:
+    mark = next(chr(i) for i in range(1, 0x110000) if not any(chr(i) in b.label for b in spec))
+    return F.split(F.lit(mark.join(b.label for b in spec)), f"\\x{{{ord(mark):x}}}")

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from facets.functions.compare import number_of
+
 POLICIES = ("as_written", "standard")
 
 # Fixed value: the accepted layout of a well-formed clock text.
@@ -44,11 +46,11 @@ def parse_clock12(c: Column | str, policy: str = "as_written") -> Column:
     hh, mm, suffix = clock_parts(c)
     if policy == "as_written":
         shift = F.when(suffix == "P", F.lit(12.0)).otherwise(F.lit(0.0))
-        h = hh.try_cast("double") + shift
+        h = number_of(hh) + shift
         # 24 folds to 0; then only 0..23 survives (the reference's two steps).
         return F.when(h == 24, F.lit(0.0)).when((h >= 0) & (h <= 23), h)
-    hour = hh.try_cast("int")
-    minute = mm.try_cast("int")
+    hour = number_of(hh, "int")
+    minute = number_of(mm, "int")
     ok = c.rlike(CLOCK12_PATTERN) & hour.between(0, 12) & minute.between(0, 59)
     pm = F.substring(c, 5, 1) == "P"
     return F.when(ok, (hour % 12) + F.when(pm, F.lit(12)).otherwise(F.lit(0)))

@@ -21,6 +21,7 @@ from facets.operators.profile import (
     sentinel_profile,
     shape,
     structure,
+    structure_with_values,
     unbinned,
     uniqueness,
     value_range,
@@ -40,6 +41,8 @@ from facets.operators.rank import (
     top_k_per_group,
 )
 from facets.operators.report import chart_rows
+from facets.operators.seen import key_uniqueness, rarest_k, repeated_keys
+from facets.operators.threshold import mode_group_of_many, slice_top_k_of_many, top_k_of_many, top_k_per_group_of_many
 
 __all__ = [
     "keep_year", "drop_sentinels", "replace_sentinel", "replace_with_mode", "with_clock_hours",
@@ -47,4 +50,6 @@ __all__ = [
     "sentinel_profile", "check_counts", "year_profile", "uniqueness", "duplicates", "value_range", "distinct_values",
     "null_count", "unbinned", "frequency", "frequencies", "ranked", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
     "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows", "with_bound_columns",
+    "structure_with_values", "repeated_keys", "key_uniqueness", "rarest_k", "top_k_of_many", "slice_top_k_of_many",
+    "top_k_per_group_of_many", "mode_group_of_many",
 ]

@@ -28,6 +28,21 @@ def structure(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
+def structure_with_values(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """(position, column_name, column_type, first_values): ``structure`` with
+    the texts of each column's first ``n`` values, rows in the order of the
+    given columns (NULL first; NULL values show as NULL)."""
+    few = first_rows(df, order, n)
+    rank = F.struct(*[F.struct(F.col(f"`{c}`").isNotNull().alias("a"), F.col(f"`{c}`").alias("b")) for c in order])
+    texts = F.array(*[F.col(f"`{f.name}`").cast("string") for f in df.schema.fields])
+    one = few.select(rank.alias("at"), texts.alias("texts")).agg(F.array_sort(F.collect_list(F.struct("at", "texts"))).alias("rows"))
+    names = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
+                               F.lit(f.dataType.simpleString()).alias("column_type")) for i, f in enumerate(df.schema.fields)])
+    listed = one.select(F.inline(names), F.col("rows"))
+    values = F.transform("rows", lambda r: F.get(r["texts"], F.col("position") - 1))
+    return listed.select("position", "column_name", "column_type", values.alias("first_values"))
+
+
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
     """The first ``n`` rows in the order of the given columns (NULL first)."""
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)

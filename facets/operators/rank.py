@@ -17,8 +17,8 @@ Physical shape, which is what makes these hold at scale:
 * ``mode_group`` is a plain aggregate (``min`` of a (-count, group) struct):
   argmax with a deterministic tie-break and partial aggregation, no window.
 * Restricting to the top-k keys (or top-n groups) is a left-semi join
-  against a broadcast of exactly k rows - the broadcast side is bounded by
-  ``k``, not by the data, and the large side is never shuffled for it.
+  against a broadcast of exactly k rows; beyond ``MOST_BROADCAST`` of them a bit
+  filter of bounded size is broadcast instead, ahead of a shuffled join.
 """
 
 from __future__ import annotations
@@ -28,10 +28,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from facets.operators.bits import bit_words, key_hash, with_bit
+from facets.sources.parquet import materialize
+
 Keys = str | Sequence[str]
 
 
-def _keys(keys: Keys) -> list[str]:
+def as_keys(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
@@ -55,7 +58,7 @@ def frequency(df: DataFrame, keys: Keys, count: str | Mapping[str, str] = "rows"
     With ``by``, ``df`` is already counted (e.g. a (group, key) count cube)
     and the counts are rolled up by summing ``by`` - same numbers, read from
     a table of a few rows instead of the data."""
-    ks = _keys(keys)
+    ks = as_keys(keys)
     measures = {name: count} if isinstance(count, str) else dict(count)
     if by is not None:
         def rolled(mode):
@@ -69,7 +72,8 @@ def frequency(df: DataFrame, keys: Keys, count: str | Mapping[str, str] = "rows"
     return df.groupBy(*ks).agg(*[_count(m, ks).alias(out) for out, m in measures.items()])
 
 
-def _order(keys: list[str], by: str, descending: bool) -> list[Column]:
+def order_columns(keys: Sequence[str], by: str, descending: bool) -> list[Column]:
+    """Listing order: the count, then the keys ascending with NULL first."""
     primary = F.col(by).desc() if descending else F.col(by).asc()
     return [primary] + [F.col(k).asc_nulls_first() for k in keys]
 
@@ -87,17 +91,17 @@ def top_k(df: DataFrame, keys: Keys, k: int, *, by: str | None = None, count: st
           name: str = "n") -> DataFrame:
     """The k most frequent keys. With ``by``, ``df`` is already counted and
     ``by`` names the measure."""
-    ks = _keys(keys)
+    ks = as_keys(keys)
     freq, by = _measured(df, ks, by, count, name)
-    return freq.orderBy(*_order(ks, by, True)).limit(k)
+    return freq.orderBy(*order_columns(ks, by, True)).limit(k)
 
 
 def bottom_k(df: DataFrame, keys: Keys, k: int, *, by: str | None = None, count: str = "rows",
              name: str = "n") -> DataFrame:
     """The k rarest keys."""
-    ks = _keys(keys)
+    ks = as_keys(keys)
     freq, by = _measured(df, ks, by, count, name)
-    return freq.orderBy(*_order(ks, by, False)).limit(k)
+    return freq.orderBy(*order_columns(ks, by, False)).limit(k)
 
 
 def slice_top_k(df: DataFrame, where: Column, keys: Keys, k: int, **kw) -> DataFrame:
@@ -118,20 +122,47 @@ def top_k_per_group(df: DataFrame, group: Keys, keys: Keys, k: int, *, by: str |
     ``slices`` hash slices of the key and cut to k there, so a group that owns
     most keys is ranked by many tasks, and its final ranking sees at most
     k x slices rows. Raise ``slices`` with the number of keys per group."""
-    gs, ks = _keys(group), _keys(keys)
+    gs, ks = as_keys(group), as_keys(keys)
     freq, by = _measured(df, gs + ks, by, count, name)
-    order = _order(ks, by, True)
+    order = order_columns(ks, by, True)
     in_slice = Window.partitionBy(*gs, F.pmod(F.xxhash64(*ks), F.lit(slices))).orderBy(*order)
     few = freq.withColumn("_slice_rank", F.row_number().over(in_slice)).where(F.col("_slice_rank") <= k)
     w = Window.partitionBy(*gs).orderBy(*order)
     return few.drop("_slice_rank").withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def _among(df: DataFrame, column: str, few: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is in ``few``, a bounded one-column
-    frame; NULL matches NULL."""
+#: Keys of a computed list that are broadcast as they are; longer lists go through a bit filter.
+MOST_BROADCAST = 100_000
+
+
+def _among(df: DataFrame, column: str, few: DataFrame, size: int, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in ``few``, a one-column frame of at
+    most ``size`` rows; NULL matches NULL. A short list is broadcast. Of a long
+    one a bit filter of bounded size is; the rows that pass it (those wanted,
+    and a few others) meet the list in a shuffled join."""
     wanted = few.select(F.col(column).alias("_wanted"))
-    return df.join(F.broadcast(wanted), F.col(column).eqNullSafe(F.col("_wanted")), "left_semi").select(*df.columns)
+    same = F.col(column).eqNullSafe(F.col("_wanted"))
+    if size <= most_broadcast:
+        return df.join(F.broadcast(wanted), same, "left_semi").select(*df.columns)
+    near = with_bit(df, key_hash([column]), bit_words(wanted.select(key_hash(["_wanted"]).alias("h")), "h"))
+    return near.hint("merge").join(wanted.hint("merge"), same, "left_semi").select(*df.columns)
+
+
+def _many_top_keys(freq: DataFrame, key: str, k: int, by: str) -> DataFrame:
+    """The k most frequent keys where k is large: a histogram of the counts
+    (a few hundred rows) tells which counts are in for sure; only keys around
+    the cut are sorted."""
+    freq = materialize(freq.withColumn("_level", F.floor(F.log2(by) * 16).cast("int")))
+    room, cut = k, None
+    for r in sorted(freq.groupBy("_level").count().collect(), key=lambda r: -r["_level"]):
+        cut = r["_level"]
+        if r["count"] >= room:
+            break
+        room -= r["count"]
+    if cut is None:
+        return freq.select(key)
+    last = freq.where(F.col("_level") == cut).orderBy(*order_columns([key], by, True)).limit(room)
+    return freq.where(F.col("_level") > cut).select(key).union(last.select(key))
 
 
 def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k: int, *,
@@ -148,49 +179,47 @@ def top_k_in_top_groups(df: DataFrame, group: str, keys: Keys, n_groups: int, k:
     per-group ranking. Two column-pruned reads, and only the chosen groups'
     rows reach the pair shuffle.
     """
-    ks = _keys(keys)
+    ks = as_keys(keys)
     if by is not None:  # df is a (group, keys) count cube
         sizes = frequency(df, group, by=by, name=name)
         top_groups = top_k(sizes, group, n_groups, by=name).select(group)
-        return top_k_per_group(_among(df, group, top_groups), group, ks, k, by=by, rank=rank)
+        return top_k_per_group(_among(df, group, top_groups, n_groups), group, ks, k, by=by, rank=rank)
     top_groups = top_k(df, group, n_groups).select(group)
-    return top_k_per_group(_among(df, group, top_groups), group, ks, k, name=name, rank=rank)
+    return top_k_per_group(_among(df, group, top_groups, n_groups), group, ks, k, name=name, rank=rank)
 
 
 def common_keys(ranked: DataFrame, group: str, key: str, name: str = "n_groups") -> DataFrame:
     """Keys present in every group of a per-group ranking (F10); a NULL group
     or key counts as one.
 
-    ``ranked`` is a bounded frame, as ``top_k_in_top_groups`` returns it
-    (groups x k rows), so the number of groups is taken by a window over just
-    these rows, in the same plan that makes them.
+    The (group, key) pairs are brought down to distinct ones once and landed.
+    The number of groups is one value, a scalar subquery over them; a key is
+    common if it has as many pairs. Both counts combine on the map side, so
+    neither many groups nor many keys meet in one task.
     """
-    one = F.struct(group)
-    n_all = F.size(F.collect_set(one).over(Window.partitionBy(F.lit(1))))
-    return (ranked.withColumn("_n_all", n_all).groupBy(key)
-            .agg(F.count_distinct(one).alias(name), F.max("_n_all").alias("_n_all"))
-            .where(F.col(name) == F.col("_n_all")).drop("_n_all"))
+    pairs = materialize(ranked.select(group, key).distinct())
+    n_all = pairs.select(group).distinct().agg(F.count(F.lit(1))).scalar()
+    return pairs.groupBy(key).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) == n_all)
 
 
-def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *,
-                         by: str | None = None) -> DataFrame:
+def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *, by: str | None = None,
+                         most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Rows whose key is among the k most frequent (a computed ``IN`` list; a
-    NULL key counts as a key). With ``by``, ``df`` is a count cube, key totals
-    are its sums, and the cells of one key (as many as the other columns'
-    domains allow) are gathered in one row; for a cube with more cells than
-    that, restrict the rows before counting."""
+    NULL key counts as a key). With ``by``, ``df`` is a count cube and key
+    totals are its sums (the cube is landed once for both). A list of more than
+    ``most_broadcast`` keys is not broadcast (see ``_among``)."""
     if by is not None:
-        # a key's cells travel with its total, so the cube is computed and read once
-        cells = df.groupBy(key).agg(F.sum(by).alias("_n"), F.collect_list(F.struct(*df.columns)).alias("_cells"))
-        return cells.orderBy(*_order([key], "_n", True)).limit(k).select(F.inline("_cells"))
-    return _among(df, key, top_k(df, key, k, count=count).select(key))
+        df = materialize(df)
+    totals = frequency(df, key, count, "_n", by=by)
+    wanted = top_k(totals, key, k, by="_n").select(key) if k <= most_broadcast else _many_top_keys(totals, key, k, "_n")
+    return _among(df, key, wanted, k, most_broadcast)
 
 
 def ranked(counted: DataFrame, keys: Keys, by: str = "n", rank: str = "rank") -> DataFrame:
     """A whole frequency table in its listing order (count falling, then the
     keys), as a rank column. For tables over bounded domains, such as bins x
     codes: all their rows are ranked in one task."""
-    w = Window.orderBy(*_order(_keys(keys), by, True))
+    w = Window.orderBy(*order_columns(as_keys(keys), by, True))
     return counted.withColumn(rank, F.row_number().over(w))
 
 
