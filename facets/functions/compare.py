@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 
 # Fixed value: how text that Spark casts to a number may begin.
-NUMBER_START = r"^[\x00-\x20]*[+-]?([0-9.]|[iI][nN][fF]|[nN][aA][nN])"
+NUMBER_START = r"^[\x00-\x20]*[+-]?([.\p{Nd}]|[iI][nN][fF]|[nN][aA][nN])"
 
 
 def number_of(text: Column, kind: str = "double") -> Column:

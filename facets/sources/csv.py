@@ -75,6 +75,8 @@ def load_checked_csv(
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD_RECORD]])
     rows = (reader.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
             .option("multiLine", multi_line).option("enforceSchema", False).option("columnPruning", False).csv(path))
+    # Spark refuses a query that asks for the record column alone: a field of no length is put to it
+    rows = rows.withColumn(BAD_RECORD, F.concat(BAD_RECORD, F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0))))
     return typed_from_text(rows, as_struct(spark, schema), date_columns, date_formats, flag_failed=True, keep=(BAD_RECORD,))
 
 
