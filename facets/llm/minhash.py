@@ -200,9 +200,7 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     ``need = ceil(percent * (m + n) / (100 + percent))`` common ones, so in a
     common order of shingles the first common one has no more than m - need
     others before it in one set and n - need in the other. With rare shingles
-    first, passages that many documents share come too late to matter. The
-    sets with a shingle that is frequent nevertheless are dealt over as many
-    tasks as there are hundreds of them.
+    first, passages that many documents share come too late to matter.
     """
     tokens = sets.join(members.select("c"), "c", "left_semi").select("c", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -214,13 +212,13 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
              .select("c", "n", "component", "alone",
                      F.posexplode(F.expr(f"slice(common, 1, greatest(0, cast(n - ceil({percent} * n / 100.0) + 1 - alone as int)))"))
                      .alias("nth", "entry"))
-             .select("c", "n", "component", F.col("entry.token").alias("token"),
-                     F.least(F.col("entry.df") / 100 + 1, F.lit(64)).cast("int").alias("salts"), (F.col("alone") + F.col("nth")).alias("before")))
+             .select("c", "n", "component", F.col("entry.token").alias("token"), (F.col("alone") + F.col("nth")).alias("before")))
+    early = materialize(early)
     side = ("c", "n", "component", "before")
-    x = early.select("token", F.pmod(F.xxhash64("c"), "salts").cast("int").alias("salt"), *[F.col(c).alias(f"x_{c}") for c in side])
-    y = early.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *[F.col(c).alias(f"y_{c}") for c in side])
+    x = early.select("token", *[F.col(c).alias(f"x_{c}") for c in side])
+    y = early.select("token", *[F.col(c).alias(f"y_{c}") for c in side])
     need = f"ceil({percent} * (x_n + y_n) / {100 + percent}.0)"
-    near = x.join(y, ["token", "salt"]).where(F.expr(
+    near = x.join(y, "token").where(F.expr(
         f"x_c < y_c and x_component <> y_component and x_before <= x_n - {need} and y_before <= y_n - {need}")
         & _size_fits(F.col("x_n"), F.col("y_n"), percent))
     return near.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct()
