@@ -129,7 +129,7 @@ def fit(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", te
         share = F.when(F.col("lang") == s["lang"], F.lit(fit_rows / s["count"])).otherwise(share)
 
     def handle(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
-        raw = [x.tobytes() for x in np.minimum(counts, 65535).astype(np.uint16)]
+        raw = [x.tobytes() for x in counts.astype(np.uint32)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], names=["id", "lang", "counts"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", te
     table = table.sort_by([("lang", "ascending"), ("id", "ascending"), ("counts", "ascending")])
     if not len(table):
         return None
-    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint16).reshape(len(table), -1)
+    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32).reshape(len(table), -1)
     langs = np.asarray(table["lang"].to_pylist(), object)
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
     names = sorted(set(langs))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facets.llm.boosting import Additive, fit_additive
-from facets.llm.common import text_chunks, word_hashes, word_spans
+from facets.llm.common import first_by_hash, text_chunks, word_hashes, word_spans
 
 #: Labelled rows that a model is fitted on at most, those first by hash of the id.
 FIT_ROWS = 20_000
@@ -89,8 +89,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     rows = rows.where(learn) if learn is not None else rows
     # a bounded number of (id, label) pairs
-    chosen = (rows.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
-              .orderBy(F.xxhash64("_id"), "_id", "_label").limit(fit_rows))
+    chosen = first_by_hash(rows.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")),
+                           fit_rows, F.xxhash64("_id"), "_id", "_label")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = features(texts.join(F.broadcast(chosen.select("_id").distinct()), F.col("doc_id") == F.col("_id"), "left_semi"))
     table = found.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "features", "_label").toArrow()

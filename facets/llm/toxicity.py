@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facets.llm.boosting import sigmoid
-from facets.llm.common import lowered, mix64, text_chunks, word_hashes, word_spans
+from facets.llm.common import first_by_hash, lowered, materialize, mix64, text_chunks, word_hashes, word_spans
 
 #: Labelled rows that a chain is fitted on at most, toxic and other, those first by hash of the id.
 FIT_TOXIC, FIT_OTHER = 5_000, 10_000
@@ -135,9 +135,10 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column | None, id_col: st
     rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     rows = (rows.where(learn) if learn is not None else rows).select(
         F.col(id_col).alias("_id"), (F.col(label_col).cast("int") > 0).cast("int").alias("_label"))
-    order = [F.xxhash64(F.lit(3), "_id"), F.col("_id")]
+    hashed = F.xxhash64(F.lit(3), "_id")
     # a bounded number of (id, label) pairs
-    chosen = rows.where("_label = 1").orderBy(*order).limit(fit_toxic).union(rows.where("_label = 0").orderBy(*order).limit(fit_other))
+    chosen = first_by_hash(rows.where("_label = 1"), fit_toxic, hashed, "_id").union(
+        first_by_hash(rows.where("_label = 0"), fit_other, hashed, "_id"))
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", F.col("_label").alias("label"), "text"))
 
@@ -173,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     a bounded number of labelled rows that meet ``learn``, a condition on
     ``labels``. Null ids, texts and labels are no examples; an id labelled
     twice is an example twice. Without any toxic example nothing is toxic."""
-    sample = _sample(docs.where(F.col(text_col).isNotNull()), labels, learn, id_col, text_col, label_col, fit_toxic, fit_other)
+    sample = materialize(_sample(docs.where(F.col(text_col).isNotNull()), labels, learn, id_col, text_col, label_col, fit_toxic, fit_other))
     names = [*categories, label_col]
 
     # what toxic rows have often, then how often the other rows have it

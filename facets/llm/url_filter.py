@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facets.llm.boosting import Trees, fit_trees
-from facets.llm.common import text_chunks
+from facets.llm.common import first_by_hash, text_chunks
 
 #: Labelled URLs that a model is fitted on at most, those first by hash of the URL.
 FIT_ROWS = 20_000
@@ -98,7 +98,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, **options) -> tuple[Trees
     rates, rows_of = np.full(SUFFIXES, 0.5), np.zeros(SUFFIXES)
     for s in stats:
         rates[s["suffix"]], rows_of[s["suffix"]] = (s["b"] + 1) / (s["n"] + 2), np.log1p(s["n"])
-    few = labelled.orderBy(F.xxhash64("url"), "url").limit(fit_rows)
+    few = first_by_hash(labelled, fit_rows, F.xxhash64("url"), "url")
     table = _inputs(few, ["blocked"]).toArrow()
     x, y = [np.zeros((0, len(FEATURES)))], [np.zeros(0)]
     for batch in table.to_batches():

@@ -179,3 +179,29 @@ def test_toxicity_odd_rows(shipped):
         assert toxicity.predict(docs, chain).count() == docs.count()
     assert toxicity.drop_toxic(docs, chain).count() == docs.count()
     assert toxicity.predict(empty_documents(shipped), toxicity.fit(empty_documents(shipped), labels)).count() == 0
+
+
+def test_first_by_hash_is_the_same_choice(shipped):
+    """Also where the threshold leaves out most rows, and for repeated ids."""
+    from pyspark.sql import functions as F
+
+    from facets.llm.common import first_by_hash
+
+    rows = shipped.range(0, 20_000, 1, 6).union(shipped.range(50)).union(shipped.createDataFrame([(None,)], "id long"))
+    h = F.xxhash64(F.lit(3), "id")
+    for n in (1, 40, 6000, 30_000):
+        want = [r.id for r in rows.orderBy(h, "id").limit(n).collect()]
+        assert [r.id for r in first_by_hash(rows, n, h, "id").collect()] == want
+    few = first_by_hash(rows, 40, h, "id")
+    assert "id" in few.columns and first_by_hash(rows.limit(0), 5, h, "id").count() == 0
+
+
+def test_gram_counts_of_a_very_long_text():
+    """More than a million bytes and more than 65,535 of one n-gram: nothing is cut."""
+    import numpy as np
+
+    from facets.llm import langid
+
+    text = ("ab " * 400_000).encode()
+    counts = langid.gram_counts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert counts.max() >= 399_999 and counts.sum() == 2 * len(text) - 3

@@ -12,7 +12,7 @@ import corpus_pipeline
 from facets.llm import mixing, toxicity
 from facets.llm.common import documents, read_table, text_chunks
 from facets.llm.queries import default_vocabulary
-from tests.llm.helpers import near_components
+from tests.llm.helpers import empty_documents, near_components, odd_documents
 
 SF = "/root/testdata/sf0.001"
 tokenizers = pytest.importorskip("tokenizers")
@@ -75,3 +75,39 @@ def test_stages_against_plain_python(shipped, tmp_path):
         want[r.doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
              hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()] += 1
     assert Counter(map(tuple, rows[5])) == want
+
+
+@pytest.mark.parametrize("case", ["odd", "empty"])
+def test_each_stage_on_odd_and_empty_tables(shipped, tmp_path, case):
+    """Null and repeated ids, null, empty and very long texts, clashing columns; no row at all."""
+    docs = odd_documents(shipped) if case == "odd" else empty_documents(shipped)
+    if case == "odd":
+        extra = [(50, "long " * 300_000, "en", "s1", 5), (51, "long " * 300_000, "en", "s1", 5), (7, "w x y z v u t s", None, None, None)]
+        docs = docs.unionByName(shipped.createDataFrame(extra, docs.select("doc_id", "text", "lang", "source", "n_chars").schema), allowMissingColumns=True)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(shipped, docs, SF)
+        path = str(tmp_path / name)
+        out.write.parquet(path)
+        kept = shipped.read.parquet(path)
+        if name == "bpe":
+            assert kept.count() == docs.count()
+        else:
+            assert kept.columns == docs.columns
+            assert {str(r.text) for r in kept.select("text").collect()} <= {str(r.text) for r in docs.select("text").collect()}
+            if name == "exact_dedup":
+                texts = [re.sub(r"[\x20\x09-\x0d]+", " ", r.text or "") for r in kept.select("text").collect()]
+                assert len(texts) == len(set(texts))
+                assert set(texts) == {re.sub(r"[\x20\x09-\x0d]+", " ", r.text or "") for r in docs.select("text").collect()}
+        docs = kept
+    assert (docs.count() > 0) == (case == "odd")
+
+
+def test_no_text_is_lost_where_an_id_carries_several(shipped):
+    """Through exact and near de-duplication each text keeps a copy or a near copy."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(2, base), (4, base), (4, other), (9, other), (9, base + " more"), (4, "third text of four with some more words")]
+    docs = shipped.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (corpus_pipeline.drop_exact, corpus_pipeline.drop_near):
+        docs = stage(shipped, docs, SF)
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted([(2, base), (4, other), (4, "third text of four with some more words")])
