@@ -205,9 +205,17 @@ def common_keys(ranked: DataFrame, group: str, key: str, name: str = "n_groups")
 def restrict_to_top_keys(df: DataFrame, key: str, k: int, count: str = "rows", *, by: str | None = None,
                          most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Rows whose key is among the k most frequent (a computed ``IN`` list; a
-    NULL key counts as a key). With ``by``, ``df`` is a count cube and key
-    totals are its sums (the cube is landed once for both). A list of more than
-    ``most_broadcast`` keys is not broadcast (see ``_among``)."""
+    NULL key counts as a key). A list of more than ``most_broadcast`` keys is not
+    broadcast (see ``_among``).
+
+    With ``by``, ``df`` is a count cube and key totals are its sums. For a short
+    list the cells of a key (as many as the other columns' domains allow)
+    travel with its total, so the cube is computed once and nothing is landed;
+    for a long one, or with ``most_broadcast=0``, the cube is landed and its
+    cells are filtered where they are."""
+    if by is not None and k <= most_broadcast:
+        cells = df.groupBy(key).agg(F.sum(by).alias("_n"), F.collect_list(F.struct(*df.columns)).alias("_cells"))
+        return cells.orderBy(*order_columns([key], "_n", True)).limit(k).select(F.inline("_cells"))
     if by is not None:
         df = materialize(df)
     totals = frequency(df, key, count, "_n", by=by)

@@ -28,7 +28,7 @@ from facets.operators.rank import Keys, as_keys, frequency, order_columns, top_k
 from facets.sources.parquet import materialize
 
 #: Hash slots of all keys, and those whose keys are counted first, for each of the k.
-SLOTS, PROBES = 1 << 20, 4
+SLOTS, PROBES = 1 << 18, 4
 #: Hash slots of a group, and parts in which its ranking meets.
 GROUP_SLOTS, MEETS = 1 << 14, 128
 
