@@ -8,7 +8,7 @@ Documents with the same shingle set form a class and go on as one; sets move
 as hashes, texts do not. Links are found in two steps, both confirmed on the
 full shingle sets:
 
-1. In every bucket each member is compared with the bucket's first class. This
+1. In every bucket each member is compared with the class of the smallest id. This
    joins large groups of near copies without forming all pairs of them.
 2. What may still be linked shares a bucket but not a component. Within those
    buckets an exact prefix filter finds the candidates: shingles are ordered
@@ -233,11 +233,12 @@ def linked_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     usable = marked.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"), F.first("n_shingles").alias("n"),
                                                        F.first("buckets").alias("buckets")).withColumn("c", F.monotonically_increasing_id()))
-    rows = classes.select("c", "n", F.explode("buckets").alias("bucket"))
+    rows = classes.select("c", "n", "doc_id", F.explode("buckets").alias("bucket"))
+    # of many edited copies the one with the smallest id is likeliest to be what the others were made from
     lead = materialize(rows.groupBy("bucket").agg(
-        F.min(F.struct(F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.max("c").alias("last"),
-        F.count(F.lit(1)).alias("size")).where("first.lead < last").select("bucket", "first.*", "size"))
-    members = materialize(hot_join(rows, lead.drop("size"), "bucket", hot_keys(lead, "bucket", "size", bands * classes.count())))
+        F.min(F.struct("doc_id", F.col("c").alias("lead"), F.col("n").alias("lead_n"))).alias("first"), F.count(F.lit(1)).alias("size"))
+        .where("size > 1").select("bucket", "first.lead", "first.lead_n", "size"))
+    members = materialize(hot_join(rows.drop("doc_id"), lead.drop("size"), "bucket", hot_keys(lead, "bucket", "size", bands * classes.count())))
 
     # one row of each set that shares a bucket; an id may have several rows, so the set is checked
     again = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
