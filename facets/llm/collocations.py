@@ -38,13 +38,13 @@ from facets.llm.common import materialize, mix64, text_chunks, word_hashes, word
 MOST_WORDS = (1 << 20) - 1
 LONGEST_WORD = 48
 #: Phrases that a task counts at once; entries of a filter range, about.
-FLUSH = 6_000_000
-RANGE = 4_000_000
+FLUSH = 3_000_000
+RANGE = 2_000_000
 #: Bits of the Bloom filter of frequent words without an id, and bits set for each word.
 BLOOM_BITS, BLOOM_HASHES = 1 << 25, 4
 #: Slices in which a language's phrases are ranked first.
 SLICES = 64
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b" \t.,;:!?\n\x0b\x0c\r")] = True
@@ -121,11 +121,12 @@ def _word_counts():
                 parts.append(pa.table([c.langs.take(pa.array(lang)), c.words.take(pa.array(word)), pa.array(counts.astype(np.int64))], names=names))
                 parts.append(pa.table([c.langs, pa.nulls(len(c.langs), pa.large_binary()), pa.array(totals.astype(np.int64))], names=names))
                 held += len(found)
-                if held >= 1_000_000:
+                if held >= 500_000:
                     yield from slices(summed(parts))
                     parts, held = [], 0
         if parts:
             yield from slices(summed(parts))
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
     return run
 
@@ -390,6 +391,7 @@ def _phrase_filters(shared, ranges: int):
                     parts, held = [], 0
         if parts:
             yield from flushed(parts, width)
+        pa.default_memory_pool().release_unused()
 
     return run
 
