@@ -10,9 +10,7 @@ table is handed to ``foreachBatch``, which ranks it with the batch
 from its checkpoint in the shared ``spark.checkpoint.dir`` and re-derives the
 same ranking. A micro-batch writes into a folder of its own, and a pointer
 file is then switched to it by one rename, so that a reader always finds a
-whole answer (``published``). A result is written into a folder of its micro-batch, and a
-pointer file is then switched to it in one rename, so that a reader always
-finds a whole answer (``read_published``).
+whole answer (``published``).
 
 Not supported on a stream: ``replace_with_mode`` (a scalar subquery), so
 ``state_fill`` must be a constant here.
