@@ -9,9 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facets.functions import bin_lookup, bins_lookup, bins_of_table
+from facets.functions import bin_lookup, bins_of_table
 from facets.operators import (
     common_keys,
+    each_bin,
     frequency,
     key_uniqueness,
     mode_group_of_many,
@@ -134,10 +135,10 @@ def q_table_bin_counts(spark, sf_dir):
 WITH b AS (SELECT c_name, c_custkey * 50 AS low, c_custkey * 50 + 75 AS high FROM customer)
 SELECT c_name AS bin, count(*) AS n FROM lineitem JOIN b ON l_extendedprice > low AND l_extendedprice <= high GROUP BY 1""")
 def q_overlapping_bin_counts(spark, sf_dir):
-    """The same bins, each value counted in every bin that holds it."""
-    spec = bins_of_table(price_bins(spark, sf_dir), "label", "low", "high", "c_custkey")
-    rows = read_table(spark, sf_dir, "lineitem").select(F.explode(bins_lookup("l_extendedprice", spec)).alias("bin"))
-    return frequency(rows, "bin")
+    """The same bins, each value counted in every bin that holds it: rows are
+    counted by price, prices meet their bins, the counts are rolled up."""
+    prices = frequency(read_table(spark, sf_dir, "lineitem"), "l_extendedprice")
+    return frequency(each_bin(prices, "l_extendedprice", price_bins(spark, sf_dir), "label", "low", "high", "c_custkey"), "bin", by="n")
 
 
 # --- a file with faults -------------------------------------------------------------------------------------
