@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from facets.operators.bins import each_bin
+from facets.operators.bins import each_bin, first_bin
 from facets.operators.clean import (
     drop_incomplete,
     drop_sentinels,
@@ -52,5 +52,5 @@ __all__ = [
     "null_count", "unbinned", "frequency", "frequencies", "ranked", "top_k", "bottom_k", "slice_top_k", "top_k_per_group",
     "top_k_in_top_groups", "common_keys", "restrict_to_top_keys", "mode_group", "chart_rows", "with_bound_columns",
     "structure_with_values", "repeated_keys", "key_uniqueness", "rarest_k", "top_k_of_many", "slice_top_k_of_many",
-    "top_k_per_group_of_many", "mode_group_of_many", "each_bin",
+    "top_k_per_group_of_many", "mode_group_of_many", "each_bin", "first_bin",
 ]

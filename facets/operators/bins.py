@@ -1,6 +1,6 @@
 """Bins that the rows of a table describe, however many.
 
-A short list of bins becomes an expression (``bins_lookup``). A longer one stays
+A short list of bins becomes an expression (``bin_lookup``, ``bins_lookup``). A longer one stays
 a table and is joined: the number line is cut into cells, once for each width
 of a bin rounded up to a power of two. A bin lies in two cells or so of its own
 width, a value in one cell of each width, so the two meet in an equi-join on
@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facets.functions.binning import MOST_BINS, bins_lookup, bins_of_table
+from facets.functions.binning import MOST_BINS, bin_lookup, bins_lookup, bins_of_table
 
 #: Bins that become an expression; longer lists are joined.
 MOST_LISTED = 10_000
@@ -78,3 +78,17 @@ def each_bin(df: DataFrame, c: str, bins: DataFrame, label: str, low: str, high:
         return df.withColumn(name, F.explode(bins_lookup(c, spec)))
     met = _met(df.withColumn("_x", F.col(c).cast("double")), "_x", table, widths, low_closed, high_closed)
     return met.withColumnRenamed("_bin", name).drop("_x", "_width", "_cell", "_low", "_high", "_nth")
+
+
+def first_bin(df: DataFrame, c: str, bins: DataFrame, label: str, low: str, high: str, order: str, *, name: str = "bin",
+              low_closed: bool = False, high_closed: bool = True, most_listed: int = MOST_LISTED) -> DataFrame:
+    """``df`` with the label of the first bin that holds its ``c`` as ``name``, by
+    ``order`` (NULL first), then label; NULL if none does."""
+    table = _table(bins, label, low, high, order)
+    n, widths = _widths(table)
+    if n <= min(most_listed, MOST_BINS):
+        spec = bins_of_table(bins, label, low, high, order, low_closed=low_closed, high_closed=high_closed)
+        return df.withColumn(name, bin_lookup(c, spec))
+    x = F.col(c).cast("double").alias("_x")
+    firsts = _met(df.select(x).distinct(), "_x", table, widths, low_closed, high_closed).groupBy("_x").agg(F.min_by("_bin", "_nth").alias(name))
+    return df.select("*", x).join(firsts.hint("merge"), "_x", "left").drop("_x")

@@ -9,10 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facets.functions import bin_lookup, bins_of_table
 from facets.operators import (
     common_keys,
     each_bin,
+    first_bin,
     frequency,
     key_uniqueness,
     mode_group_of_many,
@@ -126,9 +126,10 @@ v AS (SELECT DISTINCT l_extendedprice AS x FROM lineitem),
 f AS (SELECT v.x, min(b.c_custkey) AS k FROM v JOIN b ON v.x > b.low AND v.x <= b.high GROUP BY v.x)
 SELECT c_name AS bin, count(*) AS n FROM lineitem LEFT JOIN f ON f.x = l_extendedprice LEFT JOIN customer ON c_custkey = f.k GROUP BY 1""")
 def q_table_bin_counts(spark, sf_dir):
-    """Over a thousand bins looked up by halving; of overlapping ones the first counts."""
-    spec = bins_of_table(price_bins(spark, sf_dir), "label", "low", "high", "c_custkey")
-    return frequency(read_table(spark, sf_dir, "lineitem").select(bin_lookup("l_extendedprice", spec).alias("bin")), "bin")
+    """Over a thousand bins; of overlapping ones the first counts. Rows are
+    counted by price, prices get their bin, the counts are rolled up."""
+    prices = frequency(read_table(spark, sf_dir, "lineitem"), "l_extendedprice")
+    return frequency(first_bin(prices, "l_extendedprice", price_bins(spark, sf_dir), "label", "low", "high", "c_custkey"), "bin", by="n")
 
 
 @query("overlapping_bin_counts", """
